@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gradeline.plans import table_oracles, table_queries
+from gradeline.plans import change_oracles, change_queries, table_oracles, table_queries
 
-QUERIES = {**table_queries.QUERIES}
-ORACLES = {**table_oracles.ORACLES}
+QUERIES = {**table_queries.QUERIES, **change_queries.QUERIES}
+ORACLES = {**table_oracles.ORACLES, **change_oracles.ORACLES}

@@ -22,7 +22,7 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def _text(value) -> str:
-    if value is None or value is pd.NaT:
+    if value is None or value is pd.NaT or value is pd.NA:
         return "null"
     if isinstance(value, float) and math.isnan(value):
         return "null"
