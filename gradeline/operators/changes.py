@@ -188,7 +188,8 @@ def replay(
     empty = {f: F.lit(None).cast(types[f]) for f in fields}
     other = listed.where(~F.coalesce(tracked, F.lit(False))).select(
         "change_id", key, "change_time", "operation", "user_triggered",
-        F.when(known, "missing_id").otherwise("unknown").alias("outcome"), "error",
+        F.when(F.col("error").isNotNull(), "invalid").when(known, "missing_id")
+        .otherwise("unknown").alias("outcome"), "error",
         F.array().cast("array<string>").alias("changed_fields"),
         *[c.alias(f"old_{f}") for f, c in empty.items()],
         *[c.alias(f"new_{f}") for f, c in empty.items()],
@@ -294,7 +295,7 @@ def delete_rows(base: DataFrame, keys: DataFrame, key: str) -> DataFrame:
 # -- messages and log --------------------------------------------------------
 
 
-def _row_json_struct(spec: ChangeSpec, side: str) -> Column:
+def row_struct(spec: ChangeSpec, side: str) -> Column:
     return F.struct(spec.key, *[F.col(f"{side}_{f}").alias(f) for f in spec.fields])
 
 
@@ -305,7 +306,7 @@ def change_messages(outcomes: DataFrame, spec: ChangeSpec) -> DataFrame:
     and ``changed_fields``. Absent parts are left out of the JSON.
     """
     op = F.col("operation")
-    old, new = _row_json_struct(spec, "old"), _row_json_struct(spec, "new")
+    old, new = row_struct(spec, "old"), row_struct(spec, "new")
     body = F.struct(
         "operation",
         F.date_format("change_time", MESSAGE_TIME_FORMAT).alias("timestamp"),
@@ -331,8 +332,8 @@ def change_log_rows(outcomes: DataFrame, spec: ChangeSpec) -> DataFrame:
         F.col(spec.key).alias("record_id"),
         "operation",
         "change_time",
-        F.when(op != "insert", F.to_json(_row_json_struct(spec, "old"))).alias("old_data"),
-        F.when(op != "delete", F.to_json(_row_json_struct(spec, "new"))).alias("new_data"),
+        F.when(op != "insert", F.to_json(row_struct(spec, "old"))).alias("old_data"),
+        F.when(op != "delete", F.to_json(row_struct(spec, "new"))).alias("new_data"),
         F.to_json("changed_fields").alias("changed_fields"),
         "user_triggered",
     )
