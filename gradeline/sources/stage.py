@@ -15,14 +15,14 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only a local session without the setting gets a folder of its own.
     """
-    configured = spark.conf.get(CHECKPOINT_CONF, None)
+    context = spark.sparkContext
+    configured = spark.conf.get(CHECKPOINT_CONF, None) or context.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder all executors can reach")
-    own = tempfile.mkdtemp(prefix="gradeline-")
-    spark.conf.set(CHECKPOINT_CONF, own)
-    return own
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="gradeline-"))
+    return context.getCheckpointDir()
 
 
 def new_dir(spark: SparkSession, kind: str) -> str:
