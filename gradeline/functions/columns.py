@@ -27,14 +27,14 @@ HASH_DIGITS = 13  # 52 bits: every hash is exactly representable as a double
 
 
 def nan_to_null(c: Column) -> Column:
-    """NaN counts as missing."""
-    return F.when(~F.isnan(c), c)
+    """NaN counts as missing. ``c`` appears once, so an expensive expression is not evaluated twice."""
+    return F.nanvl(c, F.lit(None).cast("double"))
 
 
 def to_number(c: Column) -> Column:
-    """Text to double; text that is not a plain number becomes NULL."""
+    """Text to double; text that is not a plain number (NaN included) becomes NULL."""
     text = c.cast("string")
-    return nan_to_null(F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double")))
+    return F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
 
 
 def number_or_default(c: Column, default: float = 0.0) -> Column:

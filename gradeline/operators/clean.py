@@ -45,7 +45,7 @@ def drop_duplicates(df: DataFrame) -> DataFrame:
 def coerce_numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Text columns to double; unreadable text becomes NULL."""
     return df.withColumns({
-        c: F.col(c).cast("double")
+        c: C.nan_to_null(F.col(c).cast("double"))
         if isinstance(df.schema[c].dataType, T.NumericType) else C.to_number(F.col(c))
         for c in cols
     })

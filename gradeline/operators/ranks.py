@@ -20,7 +20,7 @@ from gradeline.sources.stage import stage
 
 CELLS = 4096
 FINE_ROWS = 100_000
-ONE_BUFFER_ROWS = 2_000_000
+ONE_BUFFER_ROWS = 250_000
 
 
 @dataclass(frozen=True)
@@ -56,6 +56,7 @@ def order_statistics(
     rows: DataFrame,
     wanted: Mapping[str, Sequence[int]],
     sizes: Mapping[str, tuple[int, float, float]] | None = None,
+    limits: Mapping[tuple[str, int], tuple[float, float, int, int]] | None = None,
     cells: int = CELLS,
     fine_rows: int = FINE_ROWS,
 ) -> dict[tuple[str, int], Ranked]:
@@ -63,27 +64,32 @@ def order_statistics(
 
     ``rows`` has the columns feature (a group name) and value (double, neither
     NULL nor NaN). ``wanted`` gives the ranks per group. The driver holds one
-    entry per wanted rank.
+    entry per wanted rank. Where the caller already knows limits of a rank's
+    value (lowest, highest, rows below, rows inside), the search starts there.
     """
     spark = rows.sparkSession
-    sizes = sizes or group_sizes(rows)
     found: dict[tuple[str, int], Ranked] = {}
     open_ranks: dict[tuple[str, int], tuple[float, float, int, int]] = {}
-    for feature, ranks in wanted.items():
-        for rank in ranks:
+    if limits is None:
+        sizes = sizes or group_sizes(rows)
+        limits = {}
+        for feature, ranks in wanted.items():
             n, lo, hi = sizes[feature]
-            if not 0 <= rank < n:
-                raise ValueError(f"rank {rank} is outside the {n} rows of {feature!r}")
-            if lo == hi:
-                found[feature, rank] = Ranked(lo, 0, n)
-            else:
-                open_ranks[feature, rank] = (lo, hi, 0, n)
+            for rank in ranks:
+                if not 0 <= rank < n:
+                    raise ValueError(f"rank {rank} is outside the {n} rows of {feature!r}")
+                limits[feature, rank] = (lo, hi, 0, n)
+    for key, (lo, hi, below, n) in limits.items():
+        if lo == hi:
+            found[key] = Ranked(lo, below, n)
+        else:
+            open_ranks[key] = (lo, hi, below, n)
     while open_ranks:
-        limits = sorted({(f, lo, hi, below, m <= fine_rows)
-                         for (f, _), (lo, hi, below, m) in open_ranks.items()})
-        number = {limit[:3]: i for i, limit in enumerate(limits)}
+        spans = sorted({(f, lo, hi, below, m <= fine_rows)
+                        for (f, _), (lo, hi, below, m) in open_ranks.items()})
+        number = {span[:3]: i for i, span in enumerate(spans)}
         limit_df = spark.createDataFrame(
-            [(i, *limit) for i, limit in enumerate(limits)],
+            [(i, *span) for i, span in enumerate(spans)],
             "limit_id int, feature string, lo double, hi double, below long, fine boolean",
         )
         rank_df = spark.createDataFrame(

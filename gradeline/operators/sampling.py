@@ -25,6 +25,40 @@ MIN_RATIO = 0.4
 TEST_SIZE = 0.3
 SEED = 42
 
+DRAW_CELLS = 1024
+DRAW_SPAN = float(16**HASH_DIGITS)
+
+Limits = tuple[float, float, int, int]
+
+
+def draw_cells(
+    df: DataFrame, label_col: str, key_cols: Sequence[str], seed: int
+) -> dict[Any, list[tuple[int, float, float]]]:
+    """Per label, the rows and the draw limits of each cell of the draw, in order.
+
+    One pass gives the class sizes and the first step towards any cut. The
+    driver holds ``DRAW_CELLS`` counts per class.
+    """
+    draw = sample_hash(seed, *[F.col(k) for k in key_cols])
+    rows = df.select(F.col(label_col).alias("label"), draw.alias("draw"))
+    cell = F.floor(F.col("draw") / F.lit(DRAW_SPAN / DRAW_CELLS))
+    counted = rows.where(F.col("label").isNotNull()).groupBy("label", cell.alias("cell")).agg(
+        F.count("*").alias("n"), F.min("draw").alias("lo"), F.max("draw").alias("hi")
+    )
+    cells: dict[Any, list[tuple[int, float, float]]] = {}
+    for r in sorted(counted.collect(), key=lambda r: r["cell"]):
+        cells.setdefault(r["label"], []).append((r["n"], r["lo"], r["hi"]))
+    return cells
+
+
+def _cell_of(cells: Sequence[tuple[int, float, float]], rank: int) -> Limits:
+    below = 0
+    for n, lo, hi in cells:
+        if rank < below + n:
+            return lo, hi, below, n
+        below += n
+    raise ValueError(f"rank {rank} is outside the {below} rows")
+
 
 def mark_picks(
     df: DataFrame,
@@ -34,27 +68,32 @@ def mark_picks(
     sizes: Mapping[Any, int],
     seed: int,
     name: str = "picked",
+    cells: Mapping[Any, Sequence[tuple[int, float, float]]] | None = None,
 ) -> DataFrame:
     """Add a flag that is true for exactly ``takes[label]`` rows of each label.
 
     Rows that share the hash at the cut are numbered by key among themselves,
     which also settles copies of one key.
     """
-    draw = sample_hash(seed, *[F.col(k) for k in key_cols])
-    group = F.col(label_col).cast("string")
+    df = df.withColumn("_draw", sample_hash(seed, *[F.col(k) for k in key_cols]))
+    draw, group = F.col("_draw"), F.col(label_col).cast("string")
     wanted = {str(c): [k - 1] for c, k in takes.items() if 0 < k < sizes[c]}
     picked = F.lit(False)
     for c, k in takes.items():
         if k >= sizes[c]:
             picked = F.when(group == str(c), True).otherwise(picked)
     if not wanted:
-        return df.withColumn(name, picked)
+        return df.withColumn(name, picked).drop("_draw")
     rows = df.where(group.isin(list(wanted))).select(
         group.alias("feature"), draw.alias("value")
     )
-    cuts = order_statistics(rows, wanted, {
-        str(c): (n, 0.0, float(16**HASH_DIGITS)) for c, n in sizes.items()
-    })
+    limits = None if cells is None else {
+        (str(c), k - 1): _cell_of(cells[c], k - 1)
+        for c, k in takes.items() if str(c) in wanted
+    }
+    cuts = order_statistics(
+        rows, wanted, {str(c): (n, 0.0, DRAW_SPAN) for c, n in sizes.items()}, limits
+    )
     split_ties = F.lit(False)
     left_over: dict[str, int] = {}
     for (c, rank), cut in cuts.items():
@@ -67,14 +106,14 @@ def mark_picks(
             split_ties = split_ties | (here & (draw == F.lit(cut.value)))
             left_over[c] = rank + 1 - cut.below
     if not left_over:
-        return df.withColumn(name, picked)
+        return df.withColumn(name, picked).drop("_draw")
     clear = df.where(~F.coalesce(split_ties, F.lit(False))).withColumn(name, picked)
     tied = stage(df.where(split_ties).withColumn("_row", F.monotonically_increasing_id()))
     for c, k in left_over.items():
         numbered = number_rows(tied.where(group == c), [*key_cols, "_row"], "_place")
         settled = numbered.withColumn(name, F.col("_place") < k).drop("_row", "_place")
         clear = clear.unionByName(settled)
-    return clear
+    return clear.drop("_draw")
 
 
 def balance_classes(
@@ -111,7 +150,7 @@ def draw_with_replacement(
 ) -> DataFrame:
     """``n_draws`` rows, each drawn from all ``n_rows`` rows alike."""
     numbered = number_rows(df, list(key_cols), "_place")
-    draw = sample_hash(seed, F.col("id")) / F.lit(float(16**HASH_DIGITS))
+    draw = sample_hash(seed, F.col("id")) / F.lit(DRAW_SPAN)
     hits = (
         df.sparkSession.range(n_draws)
         .select(F.floor(draw * n_rows).alias("_place"))
@@ -146,9 +185,7 @@ def stratified_split(
     seed: int = SEED,
 ) -> DataFrame:
     """Add ``is_test``: the same share of every class, exact to the row."""
-    counts = {
-        r["label"]: r["n"]
-        for r in df.groupBy(F.col(label_col).alias("label")).agg(F.count("*").alias("n")).collect()
-    }
+    cells = draw_cells(df, label_col, key_cols, seed)
+    counts = {c: sum(n for n, _, _ in of_class) for c, of_class in cells.items()}
     takes = test_sizes(counts, test_size)
-    return mark_picks(df, label_col, key_cols, takes, counts, seed, "is_test")
+    return mark_picks(df, label_col, key_cols, takes, counts, seed, "is_test", cells)

@@ -8,6 +8,7 @@ from gradeline.functions import columns as C
 from gradeline.operators import changes as ops
 from gradeline.plans.inputs import base, changes, table
 from gradeline.sources.change_feed import parse_changes as parse_messages
+from gradeline.sources.stage import stage
 
 SPEC = ops.ChangeSpec(key="record_id", fields=("value",))
 SHOWN_TIME = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -105,7 +106,7 @@ def parse_changes(spark, sf_dir):
 
 def change_counters(spark, sf_dir):
     rows = base(spark, sf_dir)
-    read = parse_messages(_messages(spark, sf_dir), rows.schema, SPEC)
+    read = stage(parse_messages(_messages(spark, sf_dir), rows.schema, SPEC))
     good = ops.replay(read.where("NOT is_error"), rows, SPEC).outcomes
     bad = read.where("is_error").select(
         "operation", "change_time", F.lit("error").alias("outcome")

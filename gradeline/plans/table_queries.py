@@ -134,7 +134,7 @@ def default_features(spark, sf_dir):
 
 def remove_outliers(spark, sf_dir):
     rows = clean_ops.drop_nulls(coded(spark, sf_dir))
-    return clean_ops.remove_outliers(rows, SAMPLE_SPEC, staged=False)
+    return clean_ops.remove_outliers(rows, SAMPLE_SPEC)
 
 
 # -- profiles ----------------------------------------------------------------
