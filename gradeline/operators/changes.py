@@ -86,13 +86,19 @@ def _carry(
     joined = before.join(
         start.select(spec.key, *[F.col(n).alias(f"_start{n}") for n in names]), spec.key, "left"
     )
+    present = [F.col("_start_live").alias("_was")] if "_live" in names else []
     return joined.select(
-        spec.key, "_chunk", *[F.coalesce(n, f"_start{n}").alias(f"_in{n}") for n in names]
+        spec.key, "_chunk", *present,
+        *[F.coalesce(n, f"_start{n}").alias(f"_in{n}") for n in names],
     )
 
 
 def replay(
-    changes: DataFrame, base: DataFrame, spec: ChangeSpec, hot_key_rows: int = HOT_KEY_ROWS
+    changes: DataFrame,
+    base: DataFrame,
+    spec: ChangeSpec,
+    hot_key_rows: int = HOT_KEY_ROWS,
+    written: bool = False,
 ) -> Replay:
     """Outcome of every change, as if the list were applied one by one.
 
@@ -101,6 +107,7 @@ def replay(
     without a required field), missing_id, unknown (operation).
     Only present keys among the changed ones are looked up in ``base``; the
     base itself is not shuffled while the list of changed keys is small.
+    ``written`` stores the replayed rows once, for callers that use both results.
     """
     key, fields = spec.key, spec.fields
     known = F.col("operation").isin(*OPERATIONS)
@@ -134,7 +141,7 @@ def replay(
         known_before = _carry(lives, spec, start, ["_live"])
     else:
         known_before = start.select(
-            key, F.col("_live").alias("_in_live"),
+            key, F.col("_live").alias("_in_live"), F.col("_live").alias("_was"),
             *[F.col(v).alias(f"_in{v}") for v in values],
         )
     rows = rows.join(known_before, group, "left").withColumn(
@@ -170,7 +177,9 @@ def replay(
         .otherwise("ok")
     )
     rows = rows.withColumn("outcome", outcome)
-    state = _final_state(rows, spec, start)
+    if written:
+        rows = stage(rows, "replayed")
+    state = _final_state(rows, spec)
     ok = F.col("outcome") == "ok"
     had_row, has_row = ok & ~is_insert, ok & (F.col("operation") != "delete")
     lists = (
@@ -197,24 +206,18 @@ def replay(
     return Replay(done.unionByName(other), state)
 
 
-def _final_state(rows: DataFrame, spec: ChangeSpec, start: DataFrame) -> DataFrame:
+def _final_state(rows: DataFrame, spec: ChangeSpec) -> DataFrame:
     """Per key with an effective change: does it exist, was it inserted anew, and its last set values."""
     values = [f"_v_{f}" for f in spec.fields]
     ends = rows.groupBy(spec.key).agg(
         _last(F.col("_live")).alias("_live"),
         F.coalesce(F.max("_fresh"), F.lit(False)).alias("_fresh"),
         F.max(F.col("outcome") == "ok").alias("_touched"),
+        F.max("_was").alias("_was"),
         *[_last(F.col(v)).alias(v) for v in values],
     )
-    was = start.select(spec.key, F.lit(True).alias("_was"))
-    return (
-        ends.where("_touched")
-        .join(was, spec.key, "left")
-        .select(
-            spec.key, "_fresh",
-            F.coalesce("_live", "_was", F.lit(False)).alias("_live"), *values,
-        )
-    )
+    live = F.coalesce("_live", "_was", F.lit(False)).alias("_live")
+    return ends.where("_touched").select(spec.key, "_fresh", live, *values)
 
 
 def apply_state(base: DataFrame, state: DataFrame, spec: ChangeSpec) -> DataFrame:
@@ -239,8 +242,13 @@ def apply_state(base: DataFrame, state: DataFrame, spec: ChangeSpec) -> DataFram
 def apply_changes(
     changes: DataFrame, base: DataFrame, spec: ChangeSpec, hot_key_rows: int = HOT_KEY_ROWS
 ) -> DataFrame:
-    """The table after an ordered list of changes."""
-    return apply_state(base, replay(changes, base, spec, hot_key_rows).state, spec)
+    """The table after an ordered list of changes.
+
+    The final state, one row per changed key, is written once: it is used for
+    the changed rows and for the new ones, and its size is then known.
+    """
+    state = replay(changes, base, spec, hot_key_rows).state
+    return apply_state(base, stage(state, "state"), spec)
 
 
 # -- set-based edits ---------------------------------------------------------

@@ -119,7 +119,7 @@ class VersionedTable:
         with_key = fresh.where(F.col(self.spec.key).isNotNull())
         touched = [r[0] for r in with_key.select(self._part()).distinct().collect()]
         base = self.read(touched)
-        done = ops.replay(fresh, base, self.spec)
+        done = ops.replay(fresh, base, self.spec, written=True)
         manifest = self._manifest()
         if touched:
             self._write_parts(ops.apply_state(base, done.state, self.spec), version)
