@@ -149,7 +149,9 @@ def draw_with_replacement(
     df: DataFrame, n_rows: int, n_draws: int, key_cols: Sequence[str], seed: int
 ) -> DataFrame:
     """``n_draws`` rows, each drawn from all ``n_rows`` rows alike."""
-    numbered = number_rows(df, list(key_cols), "_place")
+    # The fixed row id lets copies of one key spread over several ranges.
+    fixed = stage(df.withColumn("_row", F.monotonically_increasing_id()))
+    numbered = number_rows(fixed, [*key_cols, "_row"], "_place").drop("_row")
     draw = sample_hash(seed, F.col("id")) / F.lit(DRAW_SPAN)
     hits = (
         df.sparkSession.range(n_draws)
