@@ -14,7 +14,6 @@ SAMPLE_SPEC = TableSpec(
 )
 LEARN_FEATURES = ("l_quantity", "l_extendedprice", "l_discount", "l_tax", "p_size", "p_retailprice")
 LEARN_SPEC = TableSpec(id_col="rec_id", feature_cols=LEARN_FEATURES, label_col="quality")
-LABEL_SPEC = TableSpec(id_col="doc_id", feature_cols=("doc_id", "toxic"), label_col="quality")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -114,6 +114,7 @@ def pick_order(seed: int, key: str) -> str:
     return f"substr(md5('{seed}:' || {key}), 1, 13), {key}"
 
 
+DATED = "SELECT * REPLACE (strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate) FROM orders"
 ORDERS_FILTER = "o_orderstatus = 'F' AND o_totalprice >= 50000 AND o_totalprice <= 300000"
 REPORT_KEY = """
 keys AS (
@@ -135,15 +136,15 @@ SELECT '{c}' AS class, unnest(['precision', 'recall', 'f1', 'support']) AS metri
        unnest([p{c}, r{c}, f{c}, l{c}]) AS value FROM scores"""
 
 ORACLES = {
-    "scan_raw": "SELECT * FROM orders",
+    "scan_raw": DATED,
     "scan_query": """SELECT o_orderstatus, count(*) AS n, round(sum(o_totalprice), 2) AS total_price
         FROM orders WHERE o_orderpriority = '1-URGENT' AND o_totalprice > 1000 GROUP BY 1""",
-    "lookup": "SELECT * FROM orders WHERE o_orderkey = 77",
-    "list_rows": f"SELECT * FROM orders WHERE {ORDERS_FILTER} ORDER BY o_orderkey LIMIT 20 OFFSET 40",
+    "lookup": f"{DATED} WHERE o_orderkey = 77",
+    "list_rows": f"{DATED} WHERE {ORDERS_FILTER} ORDER BY o_orderkey LIMIT 20 OFFSET 40",
     "list_info": f"""SELECT count(*) AS total, CAST(20 AS INTEGER) AS limit,
         CAST(40 AS INTEGER) AS offset, 60 < count(*) AS has_more FROM orders WHERE {ORDERS_FILTER}""",
-    "limit_rows": "SELECT * FROM orders ORDER BY o_orderkey LIMIT 75",
-    "page_rows": """SELECT * FROM orders ORDER BY o_orderkey LIMIT 10
+    "limit_rows": f"{DATED} ORDER BY o_orderkey LIMIT 75",
+    "page_rows": f"""{DATED} ORDER BY o_orderkey LIMIT 10
         OFFSET (SELECT 10 * (CAST(ceil(count(*) / 10.0) AS BIGINT) - 1) FROM orders)""",
     "row_count": """SELECT count(*) AS total, count(*) FILTER (o_orderstatus = 'F') AS matching
         FROM orders""",
@@ -154,7 +155,7 @@ ORACLES = {
     "table_summary": """SELECT count(*) AS total, CAST(6 AS INTEGER) AS n_columns,
         'o_orderkey,o_custkey,o_orderstatus,o_totalprice,o_orderdate,o_orderpriority' AS columns
         FROM orders""",
-    "sample_rows": "SELECT * FROM orders ORDER BY o_orderkey LIMIT 5",
+    "sample_rows": f"{DATED} ORDER BY o_orderkey LIMIT 5",
     "drop_nulls": f"""WITH {SAMPLES} SELECT * FROM samples WHERE size IS NOT NULL
         AND weight IS NOT NULL AND sweetness IS NOT NULL AND acidity IS NOT NULL
         AND quality IS NOT NULL""",

@@ -10,7 +10,7 @@ from gradeline.functions import columns as C
 from gradeline.operators import clean as clean_ops
 from gradeline.operators import listing, metrics, profile, relate, sampling
 from gradeline.plans.inputs import (
-    LABEL_SPEC, LEARN_FEATURES, SAMPLE_SPEC, learnable, samples, samples_dup, table,
+    LEARN_FEATURES, SAMPLE_SPEC, learnable, samples, samples_dup, table,
 )
 from gradeline.sources import tables
 
@@ -28,6 +28,11 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     ])
 
 
+def dated(df: DataFrame) -> DataFrame:
+    """The order date as text, so that engines with different time units agree."""
+    return df.withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
+
+
 def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_ops.clean(samples_dup(spark, sf_dir), SAMPLE_SPEC)
 
@@ -46,7 +51,7 @@ def coded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scan_raw(spark, sf_dir):
-    return tables.read_table(spark, f"{sf_dir}/orders.parquet")
+    return dated(tables.read_table(spark, f"{sf_dir}/orders.parquet"))
 
 
 def scan_query(spark, sf_dir):
@@ -61,16 +66,16 @@ def scan_query(spark, sf_dir):
 
 
 def lookup(spark, sf_dir):
-    return tables.lookup(table(spark, sf_dir, "orders"), "o_orderkey", 77)
+    return dated(tables.lookup(table(spark, sf_dir, "orders"), "o_orderkey", 77))
 
 
 LIST_ARGS = {"equals": {"o_orderstatus": "F"}, "ranges": {"o_totalprice": (50000.0, 300000.0)}}
 
 
 def list_rows(spark, sf_dir):
-    return listing.list_rows(
+    return dated(listing.list_rows(
         table(spark, sf_dir, "orders"), "o_orderkey", **LIST_ARGS, limit=20, offset=40
-    )
+    ))
 
 
 def list_info(spark, sf_dir):
@@ -79,11 +84,11 @@ def list_info(spark, sf_dir):
 
 def limit_rows(spark, sf_dir):
     limit = tables.parse_limit("custom", "75")
-    return listing.limit_rows(table(spark, sf_dir, "orders"), "o_orderkey", limit)
+    return dated(listing.limit_rows(table(spark, sf_dir, "orders"), "o_orderkey", limit))
 
 
 def page_rows(spark, sf_dir):
-    return listing.page_rows(table(spark, sf_dir, "orders"), "o_orderkey", page=10**9)
+    return dated(listing.page_rows(table(spark, sf_dir, "orders"), "o_orderkey", page=10**9))
 
 
 def row_count(spark, sf_dir):
@@ -99,7 +104,7 @@ def table_summary(spark, sf_dir):
 
 
 def sample_rows(spark, sf_dir):
-    return tables.sample_rows(table(spark, sf_dir, "orders"), "o_orderkey")
+    return dated(tables.sample_rows(table(spark, sf_dir, "orders"), "o_orderkey"))
 
 
 # -- cleaning ----------------------------------------------------------------
