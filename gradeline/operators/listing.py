@@ -11,7 +11,7 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gradeline.operators.ranks import group_sizes, long_form, order_statistics
+from gradeline.operators.ranks import group_sizes, long_form, order_statistics, rows_inside
 
 # Page sizes.
 PAGE_ROWS = 10
@@ -60,7 +60,8 @@ def slice_rows(
     if offset >= n:
         rest = df.where(F.col(id_col).isNull()).orderBy(*order).offset(offset - n)
         return rest if limit is None else rest.limit(limit)
-    found = order_statistics(ids, {id_col: sorted({offset, end - 1})}, sizes)
+    wanted = {id_col: sorted({offset, end - 1})}
+    found = order_statistics(ids, wanted, sizes, inside=rows_inside(df, [id_col]))
     first, last = found[id_col, offset], found[id_col, end - 1]
     v = F.col(id_col).cast("double")
     skip, take = offset - first.below, end - last.below

@@ -10,8 +10,10 @@ pass moves at most ``CELLS`` counts per wanted rank, however large the table.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -44,6 +46,21 @@ def long_form(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) -> D
     )
 
 
+def rows_inside(df: DataFrame, cols: Sequence[str]) -> Callable[[Sequence[tuple]], DataFrame]:
+    """Long rows of ``df`` that can lie in given (feature, low, high, ...) spans.
+
+    The spans are literals on the columns themselves, so later passes read only
+    the columns still searched, and files skip row groups outside the spans.
+    """
+
+    def inside(spans: Sequence[tuple]) -> DataFrame:
+        tests = [F.col(span[0]).cast("double").between(span[1], span[2]) for span in spans]
+        open_cols = [c for c in cols if any(span[0] == c for span in spans)]
+        return long_form(df.where(reduce(or_, tests)), open_cols)
+
+    return inside
+
+
 def group_sizes(rows: DataFrame) -> dict[str, tuple[int, float, float]]:
     """Row count, smallest and largest value of each group of (feature, value) rows."""
     stats = rows.groupBy("feature").agg(
@@ -57,6 +74,7 @@ def order_statistics(
     wanted: Mapping[str, Sequence[int]],
     sizes: Mapping[str, tuple[int, float, float]] | None = None,
     limits: Mapping[tuple[str, int], tuple[float, float, int, int]] | None = None,
+    inside: Callable[[Sequence[tuple]], DataFrame] | None = None,
     cells: int = CELLS,
     fine_rows: int = FINE_ROWS,
 ) -> dict[tuple[str, int], Ranked]:
@@ -66,6 +84,7 @@ def order_statistics(
     NULL nor NaN). ``wanted`` gives the ranks per group. The driver holds one
     entry per wanted rank. Where the caller already knows limits of a rank's
     value (lowest, highest, rows below, rows inside), the search starts there.
+    ``inside`` gives the rows of some spans where that is cheaper than all rows.
     """
     spark = rows.sparkSession
     found: dict[tuple[str, int], Ranked] = {}
@@ -96,7 +115,8 @@ def order_statistics(
             [(number[f, lo, hi], f, r) for (f, r), (lo, hi, _, _) in open_ranks.items()],
             "limit_id int, feature string, rank long",
         )
-        for row in _count_cells(rows, limit_df, rank_df, cells).collect():
+        within = inside(spans) if inside else rows
+        for row in _count_cells(within, limit_df, rank_df, cells).collect():
             key = (row["feature"], row["rank"])
             if row["lo"] == row["hi"]:
                 found[key] = Ranked(row["lo"], row["below"], row["n"])
@@ -177,7 +197,7 @@ def exact_percentiles(
         c: sorted({r for x in at for r in (int(x), min(int(x) + 1, sizes[c][0] - 1))})
         for c, at in places.items()
     }
-    values = order_statistics(rows, wanted, sizes)
+    values = order_statistics(rows, wanted, sizes, inside=rows_inside(df, cols))
 
     def between(c: str, x: float) -> float:
         low = values[c, int(x)].value
