@@ -46,6 +46,20 @@ select s.doc_id, s.size, g.source_size, g.target, coalesce(v.taken, 0)::BIGINT a
 from sized s join goals g using (k) left join given v on s.doc_id = v.doc_id and s.k = v.k and s.size = v.size
 """
 
+OP3 = f"""
+with recursive w as (select doc_id, regexp_extract_all({LOWER.format('text')}, '[^\\x20\\x09-\\x0D]+') as ws from documents),
+sh as (select distinct doc_id, s from (select doc_id, unnest(case
+    when len(ws) >= 5 then list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))
+    when len(ws) > 0 then [array_to_string(ws, ' ')] else [] end) as s from w)),
+n as (select doc_id, count(*) as n from sh group by doc_id),
+both_ as (select x.doc_id as a, y.doc_id as b, count(*) as c from sh x join sh y on x.s = y.s and x.doc_id < y.doc_id group by all),
+links as (select a, b from both_ join n na on a = na.doc_id join n nb on b = nb.doc_id where 100 * c >= 85 * (na.n + nb.n - c)),
+edges as (select a, b from links union all select b, a from links),
+reach(doc_id, r) as (select doc_id, doc_id from documents union select reach.doc_id, b from reach join edges on r = a)
+select d.doc_id, coalesce(any_value(n.n), 0)::BIGINT as n_shingles, min(r) as component_id, d.doc_id = min(r) as kept
+from documents d join reach using (doc_id) left join n using (doc_id) group by d.doc_id
+"""
+
 OP8 = f"""
 with t as (select doc_id, {LOWER.format('text')} as body from documents)
 select doc_id, max(doc_id) over w as keep_id, count(*) over w as group_size, doc_id = max(doc_id) over w as kept, sha256(body) as text_sha256
@@ -63,4 +77,4 @@ select page_id, host, path, arg_max(rule, length(rule)) as rule, coalesce(arg_ma
 from fits group by page_id, host, path
 """
 
-ORACLES = {"op1_warc": OP1, "op2_mixing": OP2, "op8_exact_dedup": OP8, "op10_url_filter": OP10}
+ORACLES = {"op1_warc": OP1, "op2_mixing": OP2, "op3_near_dedup": OP3, "op8_exact_dedup": OP8, "op10_url_filter": OP10}

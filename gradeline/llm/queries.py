@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradeline.llm import chunk_dedup, mixing, url_filter, warc
+from gradeline.llm import chunk_dedup, mixing, near_dedup, url_filter, warc
 from gradeline.llm.common import read
 
 RULES = [
@@ -22,6 +22,10 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(read(spark, sf_dir, "documents"))
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_groups(read(spark, sf_dir, "documents"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_dedup.exact_groups(read(spark, sf_dir, "documents"))
 
@@ -31,4 +35,4 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.apply_rules(read(spark, sf_dir, "pages"), rules).select("page_id", "host", "path", "rule", "verdict")
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op2_mixing, op8_exact_dedup, op10_url_filter)}
+QUERIES = {f.__name__: f for f in (op1_warc, op2_mixing, op3_near_dedup, op8_exact_dedup, op10_url_filter)}
