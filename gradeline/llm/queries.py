@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from gradeline.llm import chunk_dedup, mixing, near_dedup, url_filter, warc
+from gradeline.llm import chunk_dedup, decontaminate, mixing, near_dedup, token_scan, url_filter, warc
 from gradeline.llm.common import read
 
 RULES = [
@@ -26,13 +25,24 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(read(spark, sf_dir, "documents"))
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_dedup.exact_groups(read(spark, sf_dir, "documents"))
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_scan.token_counts(read(spark, sf_dir, "documents"))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
     return url_filter.apply_rules(read(spark, sf_dir, "pages"), rules).select("page_id", "host", "path", "rule", "verdict")
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op2_mixing, op3_near_dedup, op8_exact_dedup, op10_url_filter)}
+QUERIES = {
+    f.__name__: f
+    for f in (op1_warc, op2_mixing, op3_near_dedup, op7_decontaminate, op8_exact_dedup, op9_token_counts, op10_url_filter)
+}
