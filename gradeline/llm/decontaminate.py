@@ -8,9 +8,9 @@ the pieces; round each hit, Myers' bit-parallel algorithm gives the exact edit d
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from unicodedata import combining
 
 import numpy as np
 import pyarrow as pa
@@ -24,12 +24,18 @@ RATE = 0.15
 WIDEST = 5
 #: Text of items that is broadcast at once; a longer benchmark is searched in several passes.
 BLOCK_CHARS = 4_000_000
-_APART = re.compile(r"[\W_]+")
+#: ASCII letters and digits and the bytes of all other characters stay, everything else is a space.
+_ASCII = bytes(b if b > 127 or chr(b).isalnum() else 32 for b in range(256))
 
 
 def plain(text: str | None) -> bytes:
-    """Lower-case letters and digits, everything else a space."""
-    return _APART.sub(" ", (text or "").lower()).encode()
+    """Lower-case letters and digits, everything else a space (several may follow each other)."""
+    text = (text or "").lower()
+    if not text.isascii():
+        for c in set(text):
+            if c > "\x7f" and not c.isalnum() and not combining(c):
+                text = text.replace(c, " ")
+    return text.encode().translate(_ASCII)
 
 
 def budget_of(n_words: int, rate: float = RATE) -> int:

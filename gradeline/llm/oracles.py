@@ -60,6 +60,18 @@ select d.doc_id, coalesce(any_value(n.n), 0)::BIGINT as n_shingles, min(r) as co
 from documents d join reach using (doc_id) left join n using (doc_id) group by d.doc_id
 """
 
+OP6 = r"""
+with w as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
+starts as (select doc_id, unnest(range(1, len(ws) - 18)) as i, ws from w),
+win as (select doc_id, i, md5(array_to_string(ws[i:i + 19], ' ')) as h from starts),
+later as (select doc_id, i from (select *, row_number() over (partition by h order by doc_id, i) as r from win) where r > 1),
+gone as (select distinct doc_id, unnest(range(i, i + 20)) as j from later),
+dropped as (select doc_id, list(j) as js from gone group by doc_id),
+kept as (select w.doc_id, len(ws) as n, case when js is null then ws
+    else list_filter(ws, lambda x, j: not list_contains(js, j)) end as ks from w left join dropped using (doc_id))
+select doc_id, n::BIGINT as n_words, (n - len(ks))::BIGINT as n_removed, sha256(array_to_string(ks, ' ')) as kept_sha256 from kept
+"""
+
 OP8 = f"""
 with t as (select doc_id, {LOWER.format('text')} as body from documents)
 select doc_id, max(doc_id) over w as keep_id, count(*) over w as group_size, doc_id = max(doc_id) over w as kept, sha256(body) as text_sha256
@@ -77,4 +89,4 @@ select page_id, host, path, arg_max(rule, length(rule)) as rule, coalesce(arg_ma
 from fits group by page_id, host, path
 """
 
-ORACLES = {"op1_warc": OP1, "op2_mixing": OP2, "op3_near_dedup": OP3, "op8_exact_dedup": OP8, "op10_url_filter": OP10}
+ORACLES = {"op1_warc": OP1, "op2_mixing": OP2, "op3_near_dedup": OP3, "op6_substring_dedup": OP6, "op8_exact_dedup": OP8, "op10_url_filter": OP10}

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gradeline.llm import chunk_dedup, decontaminate, mixing, near_dedup, token_scan, url_filter, warc
+from gradeline.llm import (
+    chunk_dedup, decontaminate, mixing, near_dedup, quality, suffix_dedup, token_scan, toxicity, url_filter, warc,
+)
 from gradeline.llm.common import read
 
 RULES = [
@@ -25,6 +28,19 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(read(spark, sf_dir, "documents"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = suffix_dedup.remove_repeats(read(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -44,5 +60,8 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_warc, op2_mixing, op3_near_dedup, op7_decontaminate, op8_exact_dedup, op9_token_counts, op10_url_filter)
+    for f in (
+        op1_warc, op2_mixing, op3_near_dedup, op4_quality, op5_toxicity, op6_substring_dedup,
+        op7_decontaminate, op8_exact_dedup, op9_token_counts, op10_url_filter,
+    )
 }

@@ -49,13 +49,18 @@ def _spans(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int)
     return mix((sums[ends] - sums[starts]) * _power(base, len(values) + 1, True)[starts] + (ends - starts).astype(_M))
 
 
-def _hash_slab(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _hash_slab(data: bytes, prefixes: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     raw = np.frombuffer(data, np.uint8)
     word = np.zeros(len(raw) + 2, np.int8)
     word[1:-1] = ~_SPACE[raw]
     edge = np.diff(word)
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    return starts, ends, _spans(_BYTE[raw], starts, ends, _BASE)
+    codes = _BYTE[raw]
+    hashes = _spans(codes, starts, ends, _BASE)
+    if prefixes:
+        firsts = [_spans(codes, starts, np.minimum(ends, starts + n), _BASE) ^ _M(n) for n in prefixes]
+        hashes = np.stack([hashes, *firsts], axis=1)
+    return starts, ends, hashes
 
 
 def _pieces(data: bytes) -> Iterator[bytes]:
@@ -71,17 +76,20 @@ def _pieces(data: bytes) -> Iterator[bytes]:
     yield data[at:]
 
 
-def word_hashes(texts: Iterable[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def word_hashes(
+    texts: Iterable[bytes], prefixes: tuple[int, ...] = ()
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Slabs of whole texts: (number of texts, word hashes, offsets of each text's words).
 
     Offsets has one more entry than the slab has texts. Short texts share a slab; a long text is hashed
-    in pieces and makes a slab of its own, which takes 8 bytes a word.
+    in pieces and makes a slab of its own, which takes 8 bytes a word. With ``prefixes`` the hashes have a
+    column for the word and one for its first bytes of each given length.
     """
     held: list[bytes] = []
     size = 0
 
     def together():
-        starts, _, hashes = _hash_slab(b"\n".join(held))
+        starts, _, hashes = _hash_slab(b"\n".join(held), prefixes)
         begins = np.cumsum([0] + [len(t) + 1 for t in held])
         return len(held), hashes, np.searchsorted(starts, begins)
 
@@ -90,7 +98,7 @@ def word_hashes(texts: Iterable[bytes]) -> Iterator[tuple[int, np.ndarray, np.nd
             yield together()
             held, size = [], 0
         if len(text) > SLAB:
-            hashes = np.concatenate([_hash_slab(p)[2] for p in _pieces(text)])
+            hashes = np.concatenate([_hash_slab(p, prefixes)[2] for p in _pieces(text)])
             yield 1, hashes, np.array([0, len(hashes)])
         else:
             held.append(text)
