@@ -87,8 +87,8 @@ def apply_rules(urls: DataFrame, rules: DataFrame, default: str = DEFAULT) -> Da
         .select(F.col("host").alias("h"), F.col("path").alias("p"), "best", F.char_length("path").alias("n"))
     )
     # The path length is a third key, so that both sides are dealt anew and Spark can split a hot URL.
-    same = (F.col("host") == F.col("h")) & (F.col("path") == F.col("p")) & (F.char_length("path") == F.col("n"))
+    same = (pages["host"] == best["h"]) & (pages["path"] == best["p"]) & (F.char_length(pages["path"]) == best["n"])
     return pages.join(best, same, "left").select(
         *[pages[c] for c in pages.columns if c not in ("rule", "verdict")],
-        F.col("best.key").alias("rule"), F.coalesce("best.rule_verdict", F.lit(default)).alias("verdict"),
+        best["best"]["key"].alias("rule"), F.coalesce(best["best"]["rule_verdict"], F.lit(default)).alias("verdict"),
     )
