@@ -8,9 +8,9 @@ similarity 0.85 differ in 9 symbols on average and in more than 23 with probabil
 under the distance threshold are then checked on their full shingle sets.
 
 Documents with equal sets are one class from the start. In a bucket (the classes with one key) every
-class meets the smallest first, not each other. Only between different components that are left in a
-bucket all pairs are compared, in blocks of bounded size, and only those under the threshold leave the
-block; a pair inside one component can add nothing.
+class meets the smallest first, not each other. Where a bucket still holds several components, its
+classes are compared in blocks of bounded size, and only confirmed links leave the block; a pair inside
+one component can add nothing.
 """
 
 from __future__ import annotations
@@ -34,7 +34,8 @@ CHUNKS, PER_CHUNK = 12, 5
 SYMBOLS = CHUNKS * PER_CHUNK
 #: The largest distance at which one chunk surely has at most one error.
 DISTANCE = 2 * CHUNKS - 1
-BLOCK = 512
+#: Bounds of a block: rows and characters (one text may be longer).
+BLOCK, BLOCK_CHARS = 512, 16_000_000
 _U = np.uint64
 
 
@@ -150,57 +151,88 @@ def _linked(pairs: DataFrame, documents: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").mapInArrow(_overlap, "a long, b long").distinct()
 
 
+def _links_between(one: pd.DataFrame, other: pd.DataFrame, same: bool) -> tuple[list[int], list[int]]:
+    """Links between rows of different components in two blocks, confirmed on full sets.
+
+    Each link joins its components at once, so that a later pair inside one adds nothing.
+    """
+    x, y = (np.frombuffer(b"".join(f.signature), np.uint16).reshape(-1, SYMBOLS) for f in (one, other))
+    own, sets = list(_sets(_texts(pa.array(one.text)))), list(_sets(_texts(pa.array(other.text))))
+    at = np.cumsum([0] + [len(s) for s in sets])
+    flat, sizes = np.concatenate(sets), np.diff(at)
+    names, values = np.unique(np.concatenate([one.label, other.label]), return_inverse=True)
+    mine, theirs = values[:len(one)], values[len(one):]
+    parent = np.arange(len(names))
+    left, right = [], []
+    for i in range(len(one)):
+        near = (parent[theirs] != parent[mine[i]]) & ((y != x[i]).sum(axis=1) <= DISTANCE)
+        if same:
+            near[:i + 1] = False
+        if not near.any():
+            continue
+        place = np.minimum(np.searchsorted(own[i], flat), len(own[i]) - 1)
+        both = np.add.reduceat((own[i][place] == flat).astype(np.int64), at[:-1])
+        for j in np.flatnonzero(near & (100 * both >= PERCENT * (sizes + len(own[i]) - both))):
+            p, q = parent[mine[i]], parent[theirs[j]]
+            if p != q:
+                parent[parent == q] = p
+                left.append(int(one.rep.iloc[i]))
+                right.append(int(other.rep.iloc[j]))
+    return left, right
+
+
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of different components under the threshold, of rows sorted by (key, i, j)."""
+    """Links of each (cluster, i, j), of rows sorted by these; one group is held at a time."""
     held: list[pd.DataFrame] = []
 
-    def pairs(frame: pd.DataFrame) -> Iterator[pa.RecordBatch]:
-        for _, g in frame.groupby(["key", "i", "j"], sort=False):
-            one, other = g[g.block == g.i.iloc[0]], g[g.block == g.j.iloc[0]]
-            x, y = (np.frombuffer(b"".join(s.signature), np.uint16).reshape(-1, SYMBOLS) for s in (one, other))
-            reps, labels = other.rep.to_numpy(), other.label.to_numpy()
-            for rep, label, sign in zip(one.rep, one.label, x):
-                near = (label != labels) & (rep < reps if g.i.iloc[0] == g.j.iloc[0] else rep != reps)
-                near[near] &= (y[near] != sign).sum(axis=1) <= DISTANCE
-                if near.any():
-                    found = reps[near]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.minimum(rep, found)), pa.array(np.maximum(rep, found))], names=["a", "b"]
-                    )
+    def links(frame: pd.DataFrame) -> Iterator[pa.RecordBatch]:
+        for (_, i, j), g in frame.groupby(["cluster", "i", "j"], sort=False):
+            one, other = g[g.block == i], g[g.block == j]
+            if len(one) and len(other):
+                left, right = _links_between(one, other, i == j)
+                yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
 
     for batch in batches:
-        frame = batch.to_pandas()
-        held.append(frame)
-        frame = pd.concat(held)
-        last = frame.iloc[-1]
-        open_ = (frame.key == last.key) & (frame.i == last.i) & (frame.j == last.j)
-        held = [frame[open_]]
-        yield from pairs(frame[~open_])
+        for at in range(0, batch.num_rows, 1000):
+            frame = pd.concat([*held, batch.slice(at, 1000).to_pandas()])
+            last = frame.iloc[-1]
+            open_ = (frame.cluster == last.cluster) & (frame.i == last.i) & (frame.j == last.j)
+            held = [frame[open_]]
+            yield from links(frame[~open_])
     if held:
-        yield from pairs(pd.concat(held))
+        yield from links(pd.concat(held))
 
 
-def _across(buckets: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
-    """Near pairs of different components that share a bucket, compared in blocks."""
-    # A bucket with fewer than two labels can add nothing. Nodes without an edge are their own label.
-    named = buckets.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
-        "label", F.coalesce("label", "rep")
-    )
+def _across(buckets: DataFrame, classes: DataFrame, labels: DataFrame, documents: DataFrame) -> DataFrame:
+    """Links between different components that share a bucket.
+
+    Buckets that hold several components are joined to clusters of classes. A cluster is compared in pairs
+    of blocks, each of bounded rows and characters, and only confirmed links leave a block.
+    """
+    # Nodes without an edge are their own label.
+    named = buckets.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
     mixed = (
-        named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("n"))
-        .filter("lo < hi").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+        named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("rep").alias("first"))
+        .filter("lo < hi").select("key", "first")
     )
-    rows = (
-        named.select("key", "rep", "label").join(mixed, "key").join(classes.select("rep", "signature"), "rep")
+    rows = stage(named.select("key", "rep", "label").join(mixed, "key").select("rep", "label", "first").distinct(), "mixed")
+    clusters = connected(rows.select(F.col("first").alias("a"), F.col("rep").alias("b")))
+    clusters = clusters.select(F.col("node").alias("rep"), F.col("label").alias("cluster"))
+    members = rows.select("rep", "label").distinct().join(clusters, "rep").join(classes.select("rep", "signature"), "rep")
+    texts = documents.select(F.col("doc_id").alias("rep"), "text")
+    members = stage(members.join(texts, "rep"), "members")
+    sizes = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.sum(F.char_length("text")).alias("chars")).select(
+        "cluster", F.ceil(F.greatest(F.col("n") / BLOCK, F.col("chars") / BLOCK_CHARS)).cast("int").alias("blocks")
+    )
+    dealt = (
+        members.join(sizes, "cluster")
         .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("key", "rep", "label", "signature", "block",
+        .select("cluster", "rep", "label", "signature", "text", "block",
                 F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
     )
-    return (
-        rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-        .mapInArrow(_compare, "a long, b long").distinct()
-    )
+    parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return dealt.repartition(parts, "cluster", "i", "j").sortWithinPartitions("cluster", "i", "j").mapInArrow(_compare, "a long, b long")
 
 
 def near_groups(documents: DataFrame) -> DataFrame:
@@ -224,11 +256,9 @@ def near_groups(documents: DataFrame) -> DataFrame:
     buckets = stage(keys.join(pivots.select("key", "pivot"), "key"), "buckets")
 
     star = buckets.filter("rep > pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
-    tried = stage(_near(star, classes), "star")
-    links = stage(_linked(tried, documents), "links")
-    labels = connected(links)
-    rest = _across(buckets.select("key", "rep"), classes, labels).join(tried, ["a", "b"], "left_anti")
-    more = stage(_linked(rest, documents), "links")
+    links = stage(_linked(_near(star, classes), documents), "links")
+    labels = stage(connected(links), "labels")
+    more = stage(_across(buckets.select("key", "rep"), classes, labels, documents), "links")
     joined = connected(links.union(more)) if not more.isEmpty() else labels
 
     members = signed.filter("doc_id is not null").select("doc_id", "n_shingles", "set_print")
