@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gradeline.llm.components import connected
+from gradeline.llm.url_filter import possible_hits
 from gradeline.llm.words import mix, seeds, shingle_hashes, word_hashes
 from gradeline.sources.stage import stage
 
@@ -141,11 +142,18 @@ def _overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield part.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
 
+def _texts_of(documents: DataFrame, ids: DataFrame) -> DataFrame:
+    """Texts of the documents in ``ids`` (doc_id). A filter of bounded size keeps most other texts from moving."""
+    key = F.col("doc_id").cast("string")
+    possible = possible_hits(documents.select("doc_id", "text"), key, ids.select(key.alias("key")))
+    return possible.join(ids, "doc_id", "left_semi")
+
+
 def _linked(pairs: DataFrame, documents: DataFrame) -> DataFrame:
     """The pairs that hold on the full shingle sets; only texts of documents in a pair are moved."""
     pairs = stage(pairs, "pairs")
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    texts = stage(documents.select("doc_id", "text").join(ids, "doc_id", "left_semi"), "texts")
+    texts = stage(_texts_of(documents, ids), "texts")
     left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta"))
     right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
     return pairs.join(left, "a").join(right, "b").mapInArrow(_overlap, "a long, b long").distinct()
@@ -219,7 +227,7 @@ def _across(buckets: DataFrame, classes: DataFrame, labels: DataFrame, documents
     clusters = connected(rows.select(F.col("first").alias("a"), F.col("rep").alias("b")))
     clusters = clusters.select(F.col("node").alias("rep"), F.col("label").alias("cluster"))
     members = rows.select("rep", "label").distinct().join(clusters, "rep").join(classes.select("rep", "signature"), "rep")
-    texts = documents.select(F.col("doc_id").alias("rep"), "text")
+    texts = _texts_of(documents, rows.select(F.col("rep").alias("doc_id")).distinct()).withColumnRenamed("doc_id", "rep")
     members = stage(members.join(texts, "rep"), "members")
     sizes = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.sum(F.char_length("text")).alias("chars")).select(
         "cluster", F.ceil(F.greatest(F.col("n") / BLOCK, F.col("chars") / BLOCK_CHARS)).cast("int").alias("blocks")

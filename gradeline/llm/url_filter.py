@@ -48,6 +48,16 @@ def bloom_filter(listed: DataFrame, max_blocks: int = MAX_BLOCKS) -> tuple[DataF
     return bits.groupBy("block").agg(*[F.bit_or(f"b{i}").alias(f"w{i}") for i in range(LANES)]), blocks
 
 
+def possible_hits(rows: DataFrame, key: Column, listed: DataFrame, max_blocks: int = MAX_BLOCKS) -> DataFrame:
+    """The rows whose ``key`` (text) the filter of ``listed`` passes: all listed ones and a few others."""
+    filtered, blocks = bloom_filter(listed, max_blocks)
+    marked = rows.select("*", _block(key, blocks).alias("_block"), *[_mask(key, i).alias(f"_b{i}") for i in range(LANES)])
+    hit = marked["_block"] == filtered["block"]
+    for i in range(LANES):
+        hit &= filtered[f"w{i}"].bitwiseAND(marked[f"_b{i}"]) != 0
+    return marked.join(F.broadcast(filtered), hit, "left_semi").select(*rows.columns)
+
+
 def apply_rules(urls: DataFrame, rules: DataFrame, default: str = DEFAULT) -> DataFrame:
     """Judge every row of ``urls`` (column url) by ``rules`` (host, path, verdict).
 
@@ -65,7 +75,6 @@ def apply_rules(urls: DataFrame, rules: DataFrame, default: str = DEFAULT) -> Da
     )
     # Distinct prefix lengths are bounded by the length of a URL, not by the length of the list.
     lengths = sorted(r.prefix for r in listed.select("prefix").distinct().collect())
-    filtered, blocks = bloom_filter(listed)
     host, path = canonical(F.col("url"))
     pages = urls.withColumns({"host": host, "path": path})
 
@@ -73,13 +82,8 @@ def apply_rules(urls: DataFrame, rules: DataFrame, default: str = DEFAULT) -> Da
     hosts = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "."))
     starts = F.filter(F.array(*[F.lit(n) for n in lengths]).cast("array<int>"), lambda n: n <= F.char_length("path"))
     keys = F.flatten(F.transform(hosts, lambda h: F.transform(starts, lambda n: F.concat(h, F.substring(F.col("path"), F.lit(1), n)))))
-    candidates = pages.select("host", "path", F.explode(keys).alias("key")).select(
-        "*", _block(F.col("key"), blocks).alias("block"), *[_mask(F.col("key"), i).alias(f"b{i}") for i in range(LANES)]
-    )
-    hit = candidates["block"] == filtered["block"]
-    for i in range(LANES):
-        hit &= F.col(f"w{i}").bitwiseAND(F.col(f"b{i}")) != 0
-    possible = candidates.join(F.broadcast(filtered), hit, "left_semi").select("host", "path", "key").distinct()
+    candidates = pages.select("host", "path", F.explode(keys).alias("key"))
+    possible = possible_hits(candidates, F.col("key"), listed).distinct()
     best = (
         possible.join(listed, "key")
         .groupBy("host", "path")
