@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -360,10 +361,19 @@ def change_history(log: DataFrame, limit: int = HISTORY_ROWS) -> DataFrame:
 
 
 def changes_since(log: DataFrame, since: str, limit: int = HISTORY_ROWS) -> DataFrame:
-    """The newest changes after a time (``yyyy-MM-dd HH:mm:ss`` or ISO text); unreadable text raises."""
-    moment = datetime.fromisoformat(since.strip().removesuffix("Z")).replace(tzinfo=None)
+    """The newest changes after a time (``yyyy-MM-dd HH:mm:ss`` or ISO text); unreadable text raises.
+
+    An offset is converted to the session's time zone. A log with days as partitions is read from the
+    bound's day on.
+    """
+    moment = datetime.fromisoformat(since.strip().removesuffix("Z"))
+    if moment.tzinfo is not None:
+        moment = moment.astimezone(ZoneInfo(log.sparkSession.conf.get("spark.sql.session.timeZone"))).replace(tzinfo=None)
     bound = F.lit(moment.isoformat(sep=" ")).cast(log.schema["change_time"].dataType)
-    return change_history(log.where(F.col("change_time") > bound), limit)
+    after = F.col("change_time") > bound
+    if "change_date" in log.columns:
+        after &= F.col("change_date") >= F.lit(moment.date())
+    return change_history(log.where(after), limit)
 
 
 def change_summary(outcomes: DataFrame) -> DataFrame:

@@ -156,9 +156,9 @@ def class_balance(df: DataFrame, label_col: str) -> DataFrame:
     """Largest and smallest class, their sizes, and the share of the smallest.
 
     Of equally large classes the lowest label counts as the largest class and
-    the highest label as the smallest one, so the two always differ.
+    the highest label as the smallest one, so the two always differ. NULL is not a class.
     """
-    counts = df.groupBy(F.col(label_col).alias("label")).agg(F.count("*").alias("n"))
+    counts = df.where(F.col(label_col).isNotNull()).groupBy(F.col(label_col).alias("label")).agg(F.count("*").alias("n"))
     by_size = F.struct((-F.col("n")).alias("n"), F.col("label").alias("label"))
     return counts.agg(
         F.count("*").alias("n_classes"), F.sum("n").alias("total"),

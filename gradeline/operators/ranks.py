@@ -116,6 +116,7 @@ def order_statistics(
             "limit_id int, feature string, rank long",
         )
         within = inside(spans) if inside else rows
+        before = dict(open_ranks)
         for row in _count_cells(within, limit_df, rank_df, cells).collect():
             key = (row["feature"], row["rank"])
             if row["lo"] == row["hi"]:
@@ -123,6 +124,8 @@ def order_statistics(
                 del open_ranks[key]
             else:
                 open_ranks[key] = (row["lo"], row["hi"], row["below"], row["n"])
+        if open_ranks == before:
+            raise ValueError(f"no rows at the wanted ranks of {sorted({f for f, _ in open_ranks})}")
     return found
 
 

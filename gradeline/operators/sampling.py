@@ -60,6 +60,11 @@ def _cell_of(cells: Sequence[tuple[int, float, float]], rank: int) -> Limits:
     raise ValueError(f"rank {rank} is outside the {below} rows")
 
 
+def _text(label: Any) -> str:
+    """The text that Spark casts a label to."""
+    return str(label).lower() if isinstance(label, bool) else str(label)
+
+
 def mark_picks(
     df: DataFrame,
     label_col: str,
@@ -77,22 +82,22 @@ def mark_picks(
     """
     df = df.withColumn("_draw", sample_hash(seed, *[F.col(k) for k in key_cols]))
     draw, group = F.col("_draw"), F.col(label_col).cast("string")
-    wanted = {str(c): [k - 1] for c, k in takes.items() if 0 < k < sizes[c]}
+    wanted = {_text(c): [k - 1] for c, k in takes.items() if 0 < k < sizes[c]}
     picked = F.lit(False)
     for c, k in takes.items():
         if k >= sizes[c]:
-            picked = F.when(group == str(c), True).otherwise(picked)
+            picked = F.when(group == _text(c), True).otherwise(picked)
     if not wanted:
         return df.withColumn(name, picked).drop("_draw")
     rows = df.where(group.isin(list(wanted))).select(
         group.alias("feature"), draw.alias("value")
     )
     limits = None if cells is None else {
-        (str(c), k - 1): _cell_of(cells[c], k - 1)
-        for c, k in takes.items() if str(c) in wanted
+        (_text(c), k - 1): _cell_of(cells[c], k - 1)
+        for c, k in takes.items() if _text(c) in wanted
     }
     cuts = order_statistics(
-        rows, wanted, {str(c): (n, 0.0, DRAW_SPAN) for c, n in sizes.items()}, limits
+        rows, wanted, {_text(c): (n, 0.0, DRAW_SPAN) for c, n in sizes.items()}, limits
     )
     split_ties = F.lit(False)
     left_over: dict[str, int] = {}

@@ -35,19 +35,21 @@ def message_schema(row_schema: T.StructType, spec: ChangeSpec) -> T.StructType:
 def parse_changes(messages: DataFrame, row_schema: T.StructType, spec: ChangeSpec) -> DataFrame:
     """Change rows from JSON text in ``value``.
 
-    Empty messages are skipped. Unreadable ones stay as rows with ``is_error``
+    Empty messages are skipped. Unreadable ones, also those with an unreadable time, stay as rows with ``is_error``
     set and the text in ``raw``, so one bad message never stops the stream.
     The id of an update names the row and is not itself a field to change.
     """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_JSON}
     body = F.from_json("value", message_schema(row_schema, spec), options)
     read = messages.where(F.col("value").isNotNull()).select("value", body.alias("m"))
-    is_error = F.col("m").isNull() | F.col(f"m.{BAD_JSON}").isNotNull()
+    time = C.parse_time(F.col("m.timestamp"))
+    bad_time = F.col("m.timestamp").isNotNull() & time.isNull()
+    is_error = F.col("m").isNull() | F.col(f"m.{BAD_JSON}").isNotNull() | bad_time
     row_id = F.coalesce("m.record_id", f"m.data.{spec.key}", f"m.new_data.{spec.key}")
     return read.select(
         "m.change_id",
         row_id.alias(spec.key),
-        C.parse_time(F.col("m.timestamp")).alias("change_time"),
+        time.alias("change_time"),
         "m.operation",
         *[F.coalesce(f"m.new_data.{f}", f"m.data.{f}").alias(f) for f in spec.fields],
         "m.user_triggered",

@@ -33,7 +33,15 @@ class VersionedTable:
     """Handle on a table folder; all state is in the folder."""
 
     def __init__(self, spark: SparkSession, root: str, spec: ops.ChangeSpec, n_parts: int = PARTS):
-        self.spark, self.root, self.spec, self.n_parts = spark, root.rstrip("/"), spec, n_parts
+        self.spark, self.root, self.spec = spark, root.rstrip("/"), spec
+        self.n_parts = self._stored_parts() or n_parts  # a table keeps the count it was created with
+
+    def _stored_parts(self) -> int | None:
+        """The number of parts that the table was created with."""
+        try:
+            return int(self.spark.read.text(f"{self.root}/parts").first()[0])
+        except AnalysisException:
+            return None
 
     def _part(self) -> Column:
         return F.pmod(F.xxhash64(self.spec.key), F.lit(self.n_parts)).cast("int")
@@ -42,6 +50,8 @@ class VersionedTable:
         """Write the first version."""
         described = self.spark.createDataFrame([(df.schema.json(),)], "value string")
         described.coalesce(1).write.mode("overwrite").text(f"{self.root}/schema")
+        count = self.spark.createDataFrame([(str(self.n_parts),)], "value string")
+        count.coalesce(1).write.mode("overwrite").text(f"{self.root}/parts")
         self._write_parts(df, 0)
         self._publish(0, {p: 0 for p in self._written_parts(0)}, None)
 

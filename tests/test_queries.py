@@ -7,10 +7,12 @@ import os
 import pytest
 
 import __spark_entry__ as driver
+from gradeline.plans import registry
 from tests.compare import duck, rows_of
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLES = driver.queries(), driver.oracle_sql()
+# The optional queries have tests of their own.
+QUERIES, ORACLES = registry.QUERIES, registry.ORACLES
 ROWS_ONLY = {"logistic_regression", "mlp", "random_forest", "bagging", "model_ranking", "score"}
 
 
@@ -23,6 +25,10 @@ def test_every_query_has_a_twin_or_is_known_to_have_none():
     assert set(QUERIES) - set(ORACLES) == ROWS_ONLY and set(ORACLES) <= set(QUERIES)
 
 
+def test_driver_lists_every_query():
+    assert set(QUERIES) <= set(driver.queries()) and set(ORACLES) <= set(driver.oracle_sql())
+
+
 def test_entry(spark):
     assert driver.entry(spark).count() == 4
 
