@@ -74,10 +74,10 @@ def clean(df: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def iqr_bounds(
-    df: DataFrame, cols: Sequence[str], n_rows: int | None = None
+    df: DataFrame, cols: Sequence[str]
 ) -> dict[str, tuple[float, float, float, float] | None]:
     """Q1, Q3 and the outlier limits of each column; None for a column without values."""
-    quartiles = exact_percentiles(df, cols, QUARTILES, n_rows)
+    quartiles = exact_percentiles(df, cols, QUARTILES)
     bounds = {}
     for c, (q1, q3) in quartiles.items():
         reach = None if q1 is None else IQR_REACH * (q3 - q1)
@@ -99,9 +99,8 @@ def remove_outliers(
     names = list(spec.feature_cols) + ([spec.label_col] if include_label else [])
     names = [c for c in names if c in df.columns and c in numeric_columns(df)]
     rows = stage(df, "outliers") if staged else df
-    n_rows = rows.select(*names).count()
     for c in names:
-        bounds = iqr_bounds(rows, [c], n_rows)[c]
+        bounds = iqr_bounds(rows, [c])[c]
         if bounds is None:
             return rows.where(F.col(c).isNotNull())
         rows = rows.where(F.col(c).between(bounds[2], bounds[3]))

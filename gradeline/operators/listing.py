@@ -11,7 +11,7 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gradeline.operators.ranks import group_sizes, long_form, order_statistics, rows_inside
+from gradeline.operators.ranks import number_rows, values_at
 
 # Page sizes.
 PAGE_ROWS = 10
@@ -42,45 +42,37 @@ def slice_rows(
     ties: Sequence[str] = (),
     top_rows: int = TOP_ROWS,
 ) -> DataFrame:
-    """Rows ``offset`` to ``offset + limit`` in id order (rows without an id come last).
+    """Rows ``offset`` to ``offset + limit`` in id order; ids of any type, NaN behind the numbers, NULL last.
 
-    Near the start this is a top-k. Deep in the table a top-k would carry every
-    row before the slice to one task, so the ids at both ends are found by
-    counting and the slice becomes a range filter on the id.
+    A top-k carries every row before its end to one task. Where these are more
+    than ``top_rows``, the ids at both ends are found first and the slice
+    becomes a range filter on the id, with the same rows in the same order;
+    rows of equal id are ordered by ``ties`` and are otherwise interchangeable.
     """
     order = [F.col(id_col).asc_nulls_last(), *ties]
+    if limit == 0:
+        return df.limit(0)
     if limit is not None and offset + limit <= top_rows:
         return df.orderBy(*order).offset(offset).limit(limit)
     if limit is None and offset == 0:
         return df.orderBy(*order)
-    ids = long_form(df, [id_col])
-    sizes = group_sizes(ids)
-    n = sizes[id_col][0] if id_col in sizes else 0
-    end = n if limit is None else min(offset + limit, n)
-    if offset >= n:
-        rest = df.where(F.col(id_col).isNull()).orderBy(*order).offset(offset - n)
-        return rest if limit is None else rest.limit(limit)
-    wanted = {id_col: sorted({offset, end - 1})}
-    found = order_statistics(ids, wanted, sizes, inside=rows_inside(df, [id_col]))
-    first, last = found[id_col, offset], found[id_col, end - 1]
-    v = F.col(id_col).cast("double")
-    skip, take = offset - first.below, end - last.below
-    if first.value == last.value:
-        inside = df.where(v == first.value).orderBy(*order).offset(skip).limit(take - skip)
-    else:
-        inside = df.where((v > first.value) & (v < last.value))
-        head = df.where(v == first.value)
-        tail = df.where(v == last.value)
-        if skip:
-            head = head.orderBy(*order).offset(skip)
-        if take < last.equal:
-            tail = tail.orderBy(*order).limit(take)
-        inside = head.unionByName(inside).unionByName(tail)
-    missing = 0 if limit is None else limit - (end - offset)
-    if limit is None or missing:
-        without_id = df.where(F.col(id_col).isNull())
-        inside = inside.unionByName(without_id.limit(missing) if missing else without_id)
-    return inside.orderBy(*order)
+    v = F.col(id_col)
+    ends = [offset] if limit is None else [offset, offset + limit - 1]
+    found = values_at(df, id_col, ends)
+    if offset not in found:
+        return df.limit(0)
+    first, before = found[offset]
+    inside = df.where(v.isNull() if first is None else v.isNull() | (v >= F.lit(first)))
+    if ends[-1] in found and limit is not None and found[ends[-1]][0] is not None:
+        inside = inside.where(v <= F.lit(found[ends[-1]][0]))
+    skip = offset - before
+    if limit is not None and skip + limit <= top_rows:
+        return inside.orderBy(*order).offset(skip).limit(limit)
+    numbered = number_rows(inside, order, "_rank")
+    taken = F.col("_rank") >= skip
+    if limit is not None:
+        taken &= F.col("_rank") < skip + limit
+    return numbered.where(taken).orderBy("_rank").drop("_rank")
 
 
 def list_rows(
@@ -114,18 +106,34 @@ def limit_rows(df: DataFrame, id_col: str, limit: int | None) -> DataFrame:
     return df if limit is None else slice_rows(df, id_col, 0, limit)
 
 
+def _page(total: int, page: int, per_page: int) -> tuple[int, int]:
+    """The page that exists for a page number, and the number of pages (1 for an empty table)."""
+    pages = max(math.ceil(total / per_page), 1)
+    return min(max(page, 1), pages), pages
+
+
 def page_rows(
     df: DataFrame,
     id_col: str,
     page: int,
     limit: int | None = None,
     per_page: int = PAGE_ROWS,
+    top_rows: int = TOP_ROWS,
 ) -> DataFrame:
     """A page by number, of the first ``limit`` rows; a number past the end gives the last page."""
     total = df.count() if limit is None else min(df.count(), limit)
-    page = min(max(page, 1), max(math.ceil(total / per_page), 1))
-    offset = (page - 1) * per_page
-    return slice_rows(df, id_col, offset, max(min(per_page, total - offset), 0))
+    offset = (_page(total, page, per_page)[0] - 1) * per_page
+    return slice_rows(df, id_col, offset, max(min(per_page, total - offset), 0), top_rows=top_rows)
+
+
+def page_info(df: DataFrame, page: int, limit: int | None = None, per_page: int = PAGE_ROWS) -> DataFrame:
+    """Rows, page size, number of pages, and the page that ``page_rows`` gives for this number."""
+    rows = F.count("*") if limit is None else F.least(F.count("*"), F.lit(limit).cast("long"))
+    pages = F.greatest(F.ceil(F.col("total") / per_page), F.lit(1)).cast("long")
+    return df.agg(rows.alias("total")).select(
+        "total", F.lit(per_page).alias("per_page"), pages.alias("pages"),
+        F.least(F.lit(max(page, 1)).cast("long"), pages).alias("page"),
+    )
 
 
 def update_probe(df: DataFrame, id_col: str, last_id: int | None) -> DataFrame:

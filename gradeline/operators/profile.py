@@ -2,19 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gradeline.operators.clean import IQR_REACH, QUARTILES, numeric_columns
-from gradeline.operators.ranks import (
-    ONE_BUFFER_ROWS,
-    exact_percentiles,
-    long_form,
-    percentile_columns,
-)
+from gradeline.operators.ranks import exact_percentiles, long_form
 
 # The quartiles of a numeric summary.
 SUMMARY_PROBS = (0.25, 0.5, 0.75)
@@ -48,17 +43,15 @@ def row_count(df: DataFrame, condition: Column | None = None) -> DataFrame:
 
 
 def _percentile_frame(
-    df: DataFrame, cols: Sequence[str], probs: Sequence[float], names: Sequence[str]
+    df: DataFrame, values: Mapping[str, Sequence[float | None]], names: Sequence[str]
 ) -> DataFrame:
-    values = exact_percentiles(df, cols, probs, n_rows=ONE_BUFFER_ROWS + 1)
     schema = "feature string, " + ", ".join(f"{n} double" for n in names)
-    return df.sparkSession.createDataFrame([(c, *values[c]) for c in cols], schema)
+    return df.sparkSession.createDataFrame([(c, *v) for c, v in values.items()], schema)
 
 
 def describe(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Count, mean, sample deviation, minimum, exact quartiles and maximum of each numeric column."""
     cols = list(cols or numeric_columns(df))
-    small = df.select(*cols).count() <= ONE_BUFFER_ROWS
     basic: list[Column] = []
     for c in cols:
         v = _number(c)
@@ -67,28 +60,18 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
             F.stddev_samp(v).alias(f"{c}__std"), F.min(v).alias(f"{c}__min"),
             F.max(v).alias(f"{c}__max"),
         ]
-    parts = ["count", "mean", "std", "min", "max"]
-    if not small:
-        row = df.agg(*basic)
-        quartiles = _percentile_frame(df, cols, SUMMARY_PROBS, ["q25", "q50", "q75"])
-        return unpivot(row, cols, parts, "feature").join(F.broadcast(quartiles), "feature")
-    row = df.agg(*basic, *percentile_columns(cols, SUMMARY_PROBS))
-    return unpivot(row, cols, [*parts, "p"], "feature").select(
-        "feature", *parts,
-        *[F.get("p", F.lit(i)).alias(n) for i, n in enumerate(("q25", "q50", "q75"))],
-    )
+    row = df.agg(*basic).first()
+    parts = ("count", "mean", "std", "min", "max")
+    found = {c: [row[f"{c}__{p}"] for p in parts] for c in cols}
+    sizes = {c: (n, lo, hi) for c, (n, _, _, lo, hi) in found.items() if n}
+    quartiles = exact_percentiles(df, cols, SUMMARY_PROBS, sizes)
+    schema = "feature string, count long, mean double, std double, min double, max double, q25 double, q50 double, q75 double"
+    return df.sparkSession.createDataFrame([(c, *found[c], *quartiles[c]) for c in cols], schema)
 
 
 def iqr_table(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Quartiles and outlier limits of each column as rows."""
-    cols = list(cols)
-    if df.select(*cols).count() <= ONE_BUFFER_ROWS:
-        row = df.agg(*percentile_columns(cols, QUARTILES))
-        quartiles = unpivot(row, cols, ["p"], "feature").select(
-            "feature", F.get("p", F.lit(0)).alias("q1"), F.get("p", F.lit(1)).alias("q3")
-        )
-    else:
-        quartiles = _percentile_frame(df, cols, QUARTILES, ["q1", "q3"])
+    quartiles = _percentile_frame(df, exact_percentiles(df, list(cols), QUARTILES), ["q1", "q3"])
     reach = F.lit(IQR_REACH) * (F.col("q3") - F.col("q1"))
     return quartiles.select(
         "feature", "q1", "q3",
@@ -96,6 +79,16 @@ def iqr_table(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     )
 
 
+def chart_flags(df: DataFrame, label_col: str) -> DataFrame:
+    """Which charts the table allows: label present, a numeric feature, two numeric columns; with its rows."""
+    numeric = numeric_columns(df)
+    return df.agg(F.count("*").alias("total")).select(
+        "total", F.lit(label_col in df.columns).alias("has_label"),
+        F.lit(any(c != label_col for c in numeric)).alias("has_numeric_features"),
+        F.lit(len(numeric) >= 2).alias("has_numeric_pair"),
+    )
+
+
 def missing_values(df: DataFrame) -> DataFrame:
     """Missing values per column."""
     counts = [F.count_if(is_missing(df, c)).alias(f"{c}__missing") for c in df.columns]

@@ -1,11 +1,10 @@
 """Exact order statistics, percentiles and row numbering without a global sort.
 
 The percentile aggregate keeps every distinct value of a group in one buffer,
-and a row number over a whole class keeps the class in one task. Both are used
-here only below a checked row count. Beyond it, ranks are found by counting:
-each pass counts the rows per value cell between known limits, picks the cell
+and a row number over a whole class keeps the class in one task. Here ranks are
+found by counting, at every size: each pass counts the rows per value cell between known limits, picks the cell
 that holds the wanted rank, and the next pass looks inside that cell only. A
-pass moves at most ``CELLS`` counts per wanted rank, however large the table.
+pass moves at most ``CELLS`` counts per wanted rank (``FINE_ROWS`` in the last one).
 """
 
 from __future__ import annotations
@@ -15,14 +14,13 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gradeline.sources.stage import stage
 
 CELLS = 4096
 FINE_ROWS = 100_000
-ONE_BUFFER_ROWS = 250_000
 
 
 @dataclass(frozen=True)
@@ -69,6 +67,16 @@ def group_sizes(rows: DataFrame) -> dict[str, tuple[int, float, float]]:
     return {r["feature"]: (r["n"], r["lo"], r["hi"]) for r in stats.collect()}
 
 
+def column_sizes(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple[int, float, float]]:
+    """The same for whole columns, in one aggregate; NULL and NaN do not count, empty columns are left out."""
+    aggs = []
+    for c in cols:
+        v = F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+        aggs += [F.count(v).alias(f"{c}__n"), F.min(v).alias(f"{c}__lo"), F.max(v).alias(f"{c}__hi")]
+    row = df.agg(*aggs).first()
+    return {c: (row[f"{c}__n"], row[f"{c}__lo"], row[f"{c}__hi"]) for c in cols if row[f"{c}__n"]}
+
+
 def order_statistics(
     rows: DataFrame,
     wanted: Mapping[str, Sequence[int]],
@@ -170,47 +178,70 @@ def _count_cells(
     )
 
 
-def percentile_columns(cols: Sequence[str], probs: Sequence[float]) -> list[Column]:
-    """Interpolated percentile aggregates, one array column per input column."""
-    return [
-        F.percentile(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")),
-                     F.array(*[F.lit(float(p)) for p in probs])).alias(f"{c}__p")
-        for c in cols
-    ]
-
-
 def exact_percentiles(
     df: DataFrame,
     cols: Sequence[str],
     probs: Sequence[float],
-    n_rows: int | None = None,
-    one_buffer_rows: int = ONE_BUFFER_ROWS,
+    sizes: Mapping[str, tuple[int, float, float]] | None = None,
 ) -> dict[str, list[float | None]]:
-    """Linearly interpolated percentiles of each column, exact at any size."""
-    n_rows = df.count() if n_rows is None else n_rows
-    if n_rows <= one_buffer_rows:
-        row = df.agg(*percentile_columns(cols, probs)).first()
-        return {c: list(row[f"{c}__p"] or [None] * len(probs)) for c in cols}
-    rows = long_form(df, cols)
-    sizes = group_sizes(rows)
-    places = {
-        c: [(p * (sizes[c][0] - 1)) for p in probs] for c in cols if c in sizes
-    }
+    """Linearly interpolated percentiles of each column, exact at any size; None for a column without values.
+
+    ``sizes`` are the counts and limits of ``column_sizes``, for callers that have them. Between two
+    neighbours the value is their weighted sum, so an infinite neighbour gives an infinite percentile.
+    """
+    sizes = column_sizes(df, cols) if sizes is None else sizes
+    places = {c: [(p * (sizes[c][0] - 1)) for p in probs] for c in cols if c in sizes}
     wanted = {
         c: sorted({r for x in at for r in (int(x), min(int(x) + 1, sizes[c][0] - 1))})
         for c, at in places.items()
     }
-    values = order_statistics(rows, wanted, sizes, inside=rows_inside(df, cols))
+    values = {}
+    if wanted:
+        values = order_statistics(long_form(df, list(wanted)), wanted, sizes, inside=rows_inside(df, list(wanted)))
 
     def between(c: str, x: float) -> float:
         low = values[c, int(x)].value
         high = values[c, min(int(x) + 1, sizes[c][0] - 1)].value
-        return low if low == high else low + (high - low) * (x - int(x))
+        return low if low == high or x == int(x) else low * (int(x) + 1 - x) + high * (x - int(x))
 
     return {c: [between(c, x) for x in places[c]] if c in places else [None] * len(probs)
             for c in cols}
 
 
+def values_at(df: DataFrame, col: str, ranks: Sequence[int]) -> dict[int, tuple]:
+    """(value, rows before it) at zero-based ranks in ascending order, for any type that can be ordered.
+
+    NaN comes behind the numbers and NULL last. Equal values are counted before
+    they move; the counts are range-partitioned and only the ranges that hold a
+    wanted rank are read again.
+    """
+    order = F.col("v").asc_nulls_last()
+    counted = df.groupBy(F.col(col).alias("v")).agg(F.count("*").alias("n"))
+    ranged = stage(counted.repartitionByRange(order).withColumn("_range", F.spark_partition_id()), "ids")
+    totals = ranged.groupBy("_range").agg(F.sum("n").alias("n")).orderBy("_range").collect()
+    starts, at = {}, 0
+    for row in totals:
+        inside = [r for r in ranks if at <= r < at + row["n"]]
+        if inside:
+            starts[row["_range"]] = (at, inside)
+        at += row["n"]
+    found = {}
+    before = Window.partitionBy("_range").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    placed = ranged.where(F.col("_range").isin(list(starts))).withColumn(
+        "before", F.coalesce(F.sum("n").over(before), F.lit(0))
+    )
+    tests = [
+        (F.col("_range") == k) & (F.col("before") <= r - at) & (F.col("before") + F.col("n") > r - at)
+        for k, (at, inside) in starts.items() for r in inside
+    ]
+    if tests:
+        for row in placed.where(reduce(or_, tests)).collect():
+            at, inside = starts[row["_range"]]
+            found |= {r: (row["v"], at + row["before"]) for r in inside
+                      if row["before"] <= r - at < row["before"] + row["n"]}
+    return found
+
+
 def number_rows(df: DataFrame, order_by: Sequence[str], name: str, start: int = 0) -> DataFrame:
     """Add consecutive numbers from ``start`` in the given order.
 

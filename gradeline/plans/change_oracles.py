@@ -4,14 +4,16 @@ from __future__ import annotations
 
 CHANGES = """
 changes AS (
-  SELECT CAST(event_id AS VARCHAR) AS change_id, user_id AS record_id, ts AS change_time,
+  SELECT CAST(event_id AS VARCHAR) AS change_id, CASE WHEN event_type IN ('purchase', 'click', 'error') AND event_id % 19 = 0 THEN NULL
+              WHEN user_id % 2 = 0 THEN user_id ELSE -user_id END AS record_id, ts AS change_time,
          CASE event_type WHEN 'signup' THEN 'insert' WHEN 'purchase' THEN 'update'
               WHEN 'click' THEN 'update' WHEN 'error' THEN 'delete' ELSE 'unknown' END AS operation,
-         CAST(floor(value / 20) AS BIGINT) AS value
+         CASE WHEN event_type <> 'signup' OR event_id % 17 <> 0
+              THEN CAST(floor(value / 20) AS BIGINT) END AS value
   FROM events),
 base AS (
   SELECT c_custkey AS record_id, CAST(floor(c_acctbal / 1000) AS BIGINT) AS value
-  FROM customer WHERE c_custkey % 2 = 0)
+  FROM customer)
 """
 
 
@@ -21,8 +23,8 @@ joined AS (
   SELECT c.*, b.record_id IS NOT NULL AS in_base, b.value AS base_value
   FROM {source} c LEFT JOIN base b USING (record_id)),
 living AS (
-  SELECT *, coalesce(last_value(CASE WHEN operation IN ('insert', 'delete')
-      THEN operation = 'insert' END IGNORE NULLS) OVER w, in_base) AS present
+  SELECT *, coalesce(last_value(CASE WHEN operation = 'delete' THEN false
+      WHEN operation = 'insert' AND value IS NOT NULL THEN true END IGNORE NULLS) OVER w, in_base) AS present
   FROM joined
   WINDOW w AS (PARTITION BY record_id ORDER BY change_time, change_id
                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
@@ -37,6 +39,8 @@ valued AS (
                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 judged AS (
   SELECT *, CASE WHEN operation = 'unknown' THEN 'unknown'
+      WHEN operation = 'insert' AND value IS NULL THEN 'invalid'
+      WHEN record_id IS NULL THEN 'missing_id'
       WHEN operation = 'insert' THEN CASE WHEN present THEN 'duplicate' ELSE 'ok' END
       WHEN NOT present THEN 'missing'
       WHEN operation = 'update' AND value = before_value THEN 'unchanged'
@@ -85,16 +89,16 @@ BROKEN_TEXT = """substr('{"operation":"' || operation || '","timestamp":"', 1, 2
 
 ORACLES = {
     "apply_outcomes": f"""WITH {REPLAY}
-        SELECT change_id, record_id, operation, outcome, CAST(old_value AS VARCHAR) AS old_value,
+        SELECT change_id, CAST(record_id AS VARCHAR) AS record_id, operation, outcome, CAST(old_value AS VARCHAR) AS old_value,
           CAST(new_value AS VARCHAR) AS new_value FROM outcomes""",
     "apply_changes": f"""WITH {REPLAY},
         ends AS (
           SELECT record_id, any_value(in_base) AS in_base, any_value(base_value) AS base_value,
             arg_max(operation = 'insert', (change_time, change_id))
-              FILTER (operation IN ('insert', 'delete')) AS live,
+              FILTER (operation = 'delete' OR operation = 'insert' AND value IS NOT NULL) AS live,
             arg_max(set_value, (change_time, change_id)) FILTER (set_value IS NOT NULL) AS value
-          FROM written GROUP BY record_id)
-        SELECT record_id, value FROM base WHERE record_id NOT IN (SELECT record_id FROM changes)
+          FROM written WHERE record_id IS NOT NULL GROUP BY record_id)
+        SELECT record_id, value FROM base WHERE record_id NOT IN (SELECT record_id FROM changes WHERE record_id IS NOT NULL)
         UNION ALL
         SELECT record_id, coalesce(value, base_value) FROM ends WHERE coalesce(live, in_base)""",
     "changed_fields": f"""WITH {REPLAY}
@@ -102,13 +106,14 @@ ORACLES = {
     "insert_rows": f"""WITH {CHANGES} SELECT * FROM base UNION ALL
         SELECT (SELECT max(record_id) FROM base)
                + row_number() OVER (ORDER BY change_time, change_id), value
-        FROM changes WHERE operation = 'insert'""",
+        FROM changes WHERE operation = 'insert' AND value IS NOT NULL""",
     "update_rows": f"""WITH {CHANGES}, news AS (
           SELECT record_id, arg_max(value, (change_time, change_id)) AS new_value
           FROM changes WHERE operation = 'update' GROUP BY record_id)
         SELECT record_id, coalesce(new_value, value) AS value FROM base LEFT JOIN news USING (record_id)""",
     "delete_rows": f"""WITH {CHANGES} SELECT * FROM base
-        WHERE record_id NOT IN (SELECT record_id FROM changes WHERE operation = 'delete')""",
+        WHERE record_id NOT IN (SELECT record_id FROM changes
+          WHERE operation = 'delete' AND record_id IS NOT NULL)""",
     "change_messages": f"""WITH {REPLAY}
         SELECT CAST(record_id AS VARCHAR) AS key, {MESSAGE} AS value
         FROM outcomes WHERE outcome = 'ok'""",
@@ -128,13 +133,12 @@ ORACLES = {
           CASE WHEN good THEN CAST(value AS VARCHAR) END AS value,
           CASE WHEN good THEN 'true' END AS user_triggered,
           NOT good AS is_error, CASE WHEN NOT good THEN {BROKEN_TEXT} END AS raw
-        FROM (SELECT *, CAST(change_id AS BIGINT) % 50 <> 0 AS good FROM changes
-              WHERE operation <> 'unknown')""",
+        FROM (SELECT *, CAST(change_id AS BIGINT) % 50 <> 0 AS good FROM changes)""",
     "change_counters": f"""WITH {CHANGES},
         readable AS (SELECT * FROM changes
-          WHERE operation <> 'unknown' AND CAST(change_id AS BIGINT) % 50 <> 0),
+          WHERE CAST(change_id AS BIGINT) % 50 <> 0),
         broken AS (SELECT count(*) AS errors FROM changes
-          WHERE operation <> 'unknown' AND CAST(change_id AS BIGINT) % 50 = 0),
+          WHERE CAST(change_id AS BIGINT) % 50 = 0),
         {replay_ctes('readable')}
         SELECT count(*) AS processed,
           count(*) FILTER (outcome = 'ok' AND operation = 'insert') AS insert_processed,

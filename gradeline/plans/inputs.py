@@ -64,7 +64,11 @@ def learnable(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Event stream read as a list of row changes."""
+    """Event stream read as a list of row changes.
+
+    Odd users name keys that are absent at the start; some inserts lack the value, and some updates and
+    deletes lack the key.
+    """
     kind = F.col("event_type")
     operation = (
         F.when(kind == "signup", "insert")
@@ -72,12 +76,14 @@ def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == "error", "delete")
         .otherwise("unknown")
     )
+    named = ~kind.isin("purchase", "click", "error") | (F.col("event_id") % 19 != 0)
+    filled = (kind != "signup") | (F.col("event_id") % 17 != 0)
     return table(spark, sf_dir, "events").select(
         F.col("event_id").cast("string").alias("change_id"),
-        F.col("user_id").alias("record_id"),
+        F.when(named, F.when(F.col("user_id") % 2 == 0, F.col("user_id")).otherwise(-F.col("user_id"))).alias("record_id"),
         F.col("ts").alias("change_time"),
         operation.alias("operation"),
-        F.floor(F.col("value") / 20).alias("value"),
+        F.when(filled, F.floor(F.col("value") / 20)).alias("value"),
         F.lit(True).alias("user_triggered"),
     )
 
@@ -85,7 +91,7 @@ def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows present before the changes."""
     customer = table(spark, sf_dir, "customer")
-    return customer.where(F.col("c_custkey") % 2 == 0).select(
+    return customer.select(
         F.col("c_custkey").alias("record_id"),
         F.floor(F.col("c_acctbal") / 1000).alias("value"),
     )

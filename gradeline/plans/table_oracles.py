@@ -146,6 +146,12 @@ ORACLES = {
     "limit_rows": f"{DATED} ORDER BY o_orderkey LIMIT 75",
     "page_rows": f"""{DATED} ORDER BY o_orderkey LIMIT 10
         OFFSET (SELECT 10 * (CAST(ceil(count(*) / 10.0) AS BIGINT) - 1) FROM orders)""",
+    "page_rows_by_text": f"WITH {SAMPLES} SELECT * FROM samples ORDER BY rec_id LIMIT 10 OFFSET 1990",
+    "page_info": """SELECT count(*) AS total, CAST(10 AS INTEGER) AS per_page,
+        CAST(greatest(ceil(count(*) / 10.0), 1) AS BIGINT) AS pages,
+        CAST(greatest(ceil(count(*) / 10.0), 1) AS BIGINT) AS page FROM orders""",
+    "chart_flags": f"""WITH {TYPED} SELECT count(*) AS total, true AS has_label,
+        true AS has_numeric_features, true AS has_numeric_pair FROM typed""",
     "row_count": """SELECT count(*) AS total, count(*) FILTER (o_orderstatus = 'F') AS matching
         FROM orders""",
     "update_probe": """SELECT count(*) AS total, coalesce(max(o_orderkey), 0) AS max_id,

@@ -88,7 +88,16 @@ def limit_rows(spark, sf_dir):
 
 
 def page_rows(spark, sf_dir):
-    return dated(listing.page_rows(table(spark, sf_dir, "orders"), "o_orderkey", page=10**9))
+    return dated(listing.page_rows(table(spark, sf_dir, "orders"), "o_orderkey", page=10**9, top_rows=0))
+
+
+def page_rows_by_text(spark, sf_dir):
+    """A middle page on a text key, by the way that holds deep in a table."""
+    return listing.page_rows(samples(spark, sf_dir), "rec_id", page=200, top_rows=0)
+
+
+def page_info(spark, sf_dir):
+    return listing.page_info(table(spark, sf_dir, "orders"), page=10**9)
 
 
 def row_count(spark, sf_dir):
@@ -157,6 +166,10 @@ def column_stats(spark, sf_dir):
     return rounded(profile.column_stats(typed(spark, sf_dir)))
 
 
+def chart_flags(spark, sf_dir):
+    return profile.chart_flags(typed(spark, sf_dir), LABEL)
+
+
 def iqr_bounds(spark, sf_dir):
     return rounded(profile.iqr_table(typed(spark, sf_dir), FEATURES))
 
@@ -303,7 +316,8 @@ def mask_secret(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        scan_raw, scan_query, lookup, list_rows, list_info, limit_rows, page_rows, row_count,
+        scan_raw, scan_query, lookup, list_rows, list_info, limit_rows, page_rows,
+        page_rows_by_text, page_info, chart_flags, row_count,
         update_probe, table_summary, sample_rows, drop_nulls, drop_duplicates, coerce_numeric,
         map_labels, clean, default_features, remove_outliers, missing_values, describe,
         column_stats, iqr_bounds, class_counts, class_share, class_balance, histogram, top_bins,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import Future
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -37,15 +39,21 @@ def start_applying(
     available_now: bool = False,
     name: str | None = None,
 ) -> StreamingQuery:
-    """Start the stream. A batch is named by checkpoint and number, so repeating it changes nothing."""
+    """Start the stream. A batch is named by the query's id and its number, so repeating it changes nothing.
+
+    The id is kept in the checkpoint: a restart goes on under it, and a new checkpoint, also one at
+    the same path, has a new one.
+    """
+    query_id: Future[str] = Future()
     writer = messages.writeStream.foreachBatch(
-        lambda batch, batch_id: apply_batch(table, batch, f"{checkpoint}#{batch_id}")
+        lambda batch, batch_id: apply_batch(table, batch, f"{query_id.result()}#{batch_id}")
     ).option("checkpointLocation", checkpoint)
     if name:
         writer = writer.queryName(name)
-    if available_now:
-        return writer.trigger(availableNow=True).start()
-    return writer.trigger(processingTime=POLL_INTERVAL).start()
+    trigger = {"availableNow": True} if available_now else {"processingTime": POLL_INTERVAL}
+    query = writer.trigger(**trigger).start()
+    query_id.set_result(query.id)
+    return query
 
 
 def stream_status(query: StreamingQuery) -> dict:

@@ -1,4 +1,4 @@
-"""Exact ranks and percentiles against numpy, on the counting path and the one-buffer path."""
+"""Exact ranks and percentiles against numpy, and slices against sorted lists."""
 
 from __future__ import annotations
 
@@ -52,15 +52,14 @@ def test_rank_outside_the_rows_is_an_error(spark):
         ranks.order_statistics(frame(spark, {"g": [1.0]}), {"g": [1]})
 
 
-@pytest.mark.parametrize("one_buffer_rows", [0, 10**6])
-def test_percentiles_equal_numpy(spark, one_buffer_rows):
+def test_percentiles_equal_numpy(spark):
     rng = random.Random(3)
     data = [(rng.lognormvariate(0, 3), float(rng.randrange(4)),
              None if i % 5 == 0 else float("nan") if i % 7 == 0 else rng.gauss(0, 1), None)
             for i in range(3000)]
     df = spark.createDataFrame(data, "a double, b double, c double, d double")
     probs = [0.0, 0.25, 0.5, 0.75, 0.9, 1.0]
-    got = ranks.exact_percentiles(df, ["a", "b", "c", "d"], probs, one_buffer_rows=one_buffer_rows)
+    got = ranks.exact_percentiles(df, ["a", "b", "c", "d"], probs)
     for i, c in enumerate("abc"):
         vs = [r[i] for r in data if r[i] is not None and not math.isnan(r[i])]
         assert got[c] == pytest.approx(list(np.quantile(vs, probs)), rel=1e-12)
@@ -86,3 +85,27 @@ def test_slices_equal_the_sorted_list(spark, top_rows, offset, limit):
     assert ids_got == [r[0] for r in want[offset:end]]
     whole = [r for r in want[offset:end] if r[0] is not None]
     assert [(r["id"], r["n"]) for r in got if r["id"] is not None] == whole
+
+
+def test_percentiles_next_to_infinities(spark):
+    df = spark.createDataFrame([(-math.inf,), (1.0,), (2.0,), (math.inf,)], "a double")
+    want = df.agg(F.percentile("a", [0.25, 0.5, 0.75])).first()[0]
+    assert ranks.exact_percentiles(df, ["a"], [0.25, 0.5, 0.75])["a"] == want == [-math.inf, 1.5, math.inf]
+
+
+IDS = {
+    "string": ["b", "a", None, "c", "ab", "a", None, "Z", "", "d"],
+    "double": [3.0, float("nan"), None, 1.0, -math.inf, 3.0, None, 4.0, float("nan"), math.inf],
+    "date": [None, *(__import__("datetime").date(2024, 1, d) for d in (3, 1, 2, 9, 9, 4))],
+}
+
+
+@pytest.mark.parametrize("kind", sorted(IDS))
+def test_deep_and_shallow_slices_agree_on_any_id_type(spark, kind):
+    df = spark.createDataFrame([(v, i) for i, v in enumerate(IDS[kind])], f"id {kind}, n long")
+    whole = [r["n"] for r in df.orderBy(F.col("id").asc_nulls_last(), "n").collect()]
+    for offset, limit in ((0, 3), (2, 4), (4, None), (5, 9), (9, 1), (30, 2), (3, 0)):
+        want = whole[offset:] if limit is None else whole[offset:offset + limit]
+        for top_rows in (0, 2, 10**6):
+            got = listing.slice_rows(df, "id", offset, limit, ties=["n"], top_rows=top_rows).collect()
+            assert [r["n"] for r in got] == want, (offset, limit, top_rows)

@@ -97,9 +97,23 @@ def test_repeated_batch_is_not_applied_again(spark, table):
     batch = spark.createDataFrame([(message("x1", "delete", 1),)], "value string")
     stream.apply_batch(table, batch, "s#0")
     before = rows(table)
-    again = spark.createDataFrame([(message("x2", "delete", 2),)], "value string")
-    stream.apply_batch(table, again, "s#0")
+    stream.apply_batch(table, batch, "s#0")
     assert rows(table) == before and table.version() == 1
+    # The first batch of another stream has the same number, not the same name.
+    other = spark.createDataFrame([(message("x2", "delete", 2),)], "value string")
+    stream.apply_batch(table, other, "t#0")
+    assert rows(table) == [r for r in before if r[0] != 2] and table.version() == 2
+
+
+def test_new_checkpoint_is_a_new_stream(spark, table, tmp_path):
+    for n in (1, 2):
+        write_lines(tmp_path / f"in{n}", "a.json", [message(f"c{n}", "delete", n)])
+        query = run(spark, table, tmp_path / f"in{n}", tmp_path / f"cp{n}")
+        names = {r[0] for r in table._manifests().select("batch").collect() if r[0]}
+        assert f"{query.id}#0" in names and len(names) == n
+    again = run(spark, table, tmp_path / "in2", tmp_path / "cp2")
+    assert again.id == query.id and table.version() == 2
+    assert [r[0] for r in rows(table)] == [0, *range(3, 10)]
 
 
 def test_unfinished_version_is_invisible_and_overwritten(spark, table):
