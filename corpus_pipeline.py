@@ -20,8 +20,8 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest doc_id stays."""
-    return near_dedup.drop_near_copies(docs)
+    """Of each group of near copies, linked at a similarity of 0.8 or more, the document with the smallest doc_id stays."""
+    return near_dedup.drop_near_copies(docs, 80)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

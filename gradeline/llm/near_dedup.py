@@ -1,11 +1,13 @@
 """MinHash near-deduplication by a multi-index Hamming join.
 
 A signature has 60 symbols of b = 16 bits, each from one MinHash of the document's 5-word shingles. It is
-cut into 12 chunks of 5 symbols. Two signatures that differ in at most 23 symbols have, by the pigeonhole
-principle, a chunk with at most one wrong symbol; the allowed errors are enumerated by leaving out each
-symbol of each chunk in turn, so such a pair surely shares one of 60 keys. Documents with Jaccard
-similarity 0.85 differ in 9 symbols on average and in more than 23 with probability below 1e-5. Pairs
-under the distance threshold are then checked on their full shingle sets.
+cut into chunks, whose number follows from the similarity asked for: 12 chunks of 5 symbols at 0.85, 15
+of 4 at 0.80. Two signatures that differ in less than twice as many symbols as there are chunks have, by
+the pigeonhole principle, a chunk with at most one wrong symbol; the allowed errors are enumerated by
+leaving out each symbol of each chunk in turn, so such a pair surely shares one of 60 keys. Documents with
+Jaccard similarity 0.85 differ in 9 symbols on average and in more than 23 with probability 2e-6; those
+with 0.80 differ in 12 on average and in more than 29 with probability 2e-7. Pairs under the distance
+threshold are then checked on their full shingle sets.
 
 Documents with equal sets are one class from the start. In a bucket (the classes with one key) every
 class meets the smallest first, not each other. Where a bucket still holds several components, its
@@ -15,7 +17,9 @@ one component can add nothing.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -31,15 +35,51 @@ from gradeline.sources.stage import stage
 
 WIDTH = 5
 PERCENT = 85
-CHUNKS, PER_CHUNK = 12, 5
-SYMBOLS = CHUNKS * PER_CHUNK
-#: The largest distance at which one chunk surely has at most one error.
-DISTANCE = 2 * CHUNKS - 1
+SYMBOLS = 60
+#: Symbols of a chunk, the longest first: longer chunks have fewer chance matches, more chunks allow more errors.
+PER_CHUNK = (5, 4, 3)
+#: The largest probability that a pair at the similarity asked for is beyond the distance threshold.
+MISSED = 1e-5
 #: Bounds of a block: rows and characters (one text may be longer).
 BLOCK, BLOCK_CHARS = 512, 16_000_000
 _U = np.uint64
 
 
+@dataclass(frozen=True)
+class Plan:
+    """What follows from the least similarity, in percent."""
+
+    percent: int
+    per_chunk: int
+
+    @property
+    def chunks(self) -> int:
+        return SYMBOLS // self.per_chunk
+
+    @property
+    def distance(self) -> int:
+        """The largest distance at which one chunk surely has at most one error."""
+        return 2 * self.chunks - 1
+
+    @property
+    def missed(self) -> float:
+        """Probability that a pair of just this similarity is beyond the distance."""
+        p = self.percent / 100
+        return sum(math.comb(SYMBOLS, k) * (1 - p) ** k * p ** (SYMBOLS - k) for k in range(self.distance + 1, SYMBOLS + 1))
+
+    def similar(self, both: np.ndarray | int, either: np.ndarray | int) -> np.ndarray | bool:
+        return 100 * both >= self.percent * either
+
+
+def plan_for(percent: int) -> Plan:
+    """The plan with the longest chunks that misses a pair with a probability of at most ``MISSED``."""
+    for per_chunk in PER_CHUNK:
+        plan = Plan(percent, per_chunk)
+        if percent <= 100 and plan.missed <= MISSED:
+            return plan
+    raise ValueError(f"signatures of {SYMBOLS} symbols do not find pairs of {percent} % similarity")
+
+
 def _texts(column: pa.Array) -> list[bytes]:
     return [(t or "").encode().lower() for t in column.to_pylist()]
 
@@ -93,25 +133,30 @@ def signatures(documents: DataFrame) -> DataFrame:
     )
 
 
-def _enumerate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    salt = seeds(SYMBOLS, 9000)
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        raw = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint16).reshape(-1, CHUNKS, PER_CHUNK)
-        keys = np.zeros((len(raw), CHUNKS, PER_CHUNK), _U)
-        for drop in range(PER_CHUNK):
-            rest = [s for s in range(PER_CHUNK) if s != drop]
-            packed = np.ascontiguousarray(raw[:, :, rest]).view(_U)[:, :, 0]
-            keys[:, :, drop] = mix(packed ^ salt[drop::PER_CHUNK][None, :])
-        flat = pa.array(keys.reshape(len(raw), -1).view(np.int64).ravel())
-        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(raw) + 1, dtype=np.int32) * SYMBOLS), flat)
-        yield pa.RecordBatch.from_arrays([batch.column("rep"), lists], names=["rep", "keys"])
-
-
-def bucket_keys(classes: DataFrame) -> DataFrame:
+def _enumerate(plan: Plan) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def keys_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        salt, per = seeds(SYMBOLS, 9000), plan.per_chunk
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            raw = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint16).reshape(-1, plan.chunks, per)
+            keys = np.zeros((len(raw), plan.chunks, per), _U)
+            for drop in range(per):
+                packed = np.zeros(raw.shape[:2], _U)
+                for s in range(per):
+                    if s != drop:
+                        packed = packed << _U(16) | raw[:, :, s]
+                keys[:, :, drop] = mix(packed ^ salt[drop::per][None, :])
+            flat = pa.array(keys.reshape(len(raw), -1).view(np.int64).ravel())
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(raw) + 1, dtype=np.int32) * SYMBOLS), flat)
+            yield pa.RecordBatch.from_arrays([batch.column("rep"), lists], names=["rep", "keys"])
+
+    return keys_of
+
+
+def bucket_keys(classes: DataFrame, plan: Plan) -> DataFrame:
     """(key, rep): the 60 keys of each class."""
-    return classes.select("rep", "signature").mapInArrow(_enumerate, "rep long, keys array<long>").select(
+    return classes.select("rep", "signature").mapInArrow(_enumerate(plan), "rep long, keys array<long>").select(
         F.explode("keys").alias("key"), "rep"
     )
 
@@ -124,22 +169,25 @@ def _distance(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series((x != y).sum(axis=1).astype("int32"))
 
 
-def _near(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+def _near(pairs: DataFrame, classes: DataFrame, plan: Plan) -> DataFrame:
     """The pairs (a, b) whose signatures are under the distance threshold."""
     left = classes.select(F.col("rep").alias("a"), F.col("signature").alias("sa"))
     right = classes.select(F.col("rep").alias("b"), F.col("signature").alias("sb"))
-    return pairs.join(left, "a").join(right, "b").filter(_distance("sa", "sb") <= DISTANCE).select("a", "b")
+    return pairs.join(left, "a").join(right, "b").filter(_distance("sa", "sb") <= plan.distance).select("a", "b")
 
 
-def _overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for at in range(0, batch.num_rows, 256):
-            part = batch.slice(at, 256)
-            linked = []
-            for x, y in zip(_sets(_texts(part.column("ta"))), _sets(_texts(part.column("tb")))):
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                linked.append(both > 0 and 100 * both >= PERCENT * (len(x) + len(y) - both))
-            yield part.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
+def _overlap(plan: Plan) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                linked = []
+                for x, y in zip(_sets(_texts(part.column("ta"))), _sets(_texts(part.column("tb")))):
+                    both = len(np.intersect1d(x, y, assume_unique=True))
+                    linked.append(both > 0 and plan.similar(both, len(x) + len(y) - both))
+                yield part.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
+
+    return confirmed
 
 
 def _texts_of(documents: DataFrame, ids: DataFrame) -> DataFrame:
@@ -149,17 +197,17 @@ def _texts_of(documents: DataFrame, ids: DataFrame) -> DataFrame:
     return possible.join(ids, "doc_id", "left_semi")
 
 
-def _linked(pairs: DataFrame, documents: DataFrame) -> DataFrame:
+def _linked(pairs: DataFrame, documents: DataFrame, plan: Plan) -> DataFrame:
     """The pairs that hold on the full shingle sets; only texts of documents in a pair are moved."""
     pairs = stage(pairs, "pairs")
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
     texts = stage(_texts_of(documents, ids), "texts")
     left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta"))
     right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
-    return pairs.join(left, "a").join(right, "b").mapInArrow(_overlap, "a long, b long").distinct()
+    return pairs.join(left, "a").join(right, "b").mapInArrow(_overlap(plan), "a long, b long").distinct()
 
 
-def _links_between(one: pd.DataFrame, other: pd.DataFrame, same: bool) -> tuple[list[int], list[int]]:
+def _links_between(one: pd.DataFrame, other: pd.DataFrame, same: bool, plan: Plan) -> tuple[list[int], list[int]]:
     """Links between rows of different components in two blocks, confirmed on full sets.
 
     Each link joins its components at once, so that a later pair inside one adds nothing.
@@ -173,14 +221,14 @@ def _links_between(one: pd.DataFrame, other: pd.DataFrame, same: bool) -> tuple[
     parent = np.arange(len(names))
     left, right = [], []
     for i in range(len(one)):
-        near = (parent[theirs] != parent[mine[i]]) & ((y != x[i]).sum(axis=1) <= DISTANCE)
+        near = (parent[theirs] != parent[mine[i]]) & ((y != x[i]).sum(axis=1) <= plan.distance)
         if same:
             near[:i + 1] = False
         if not near.any():
             continue
         place = np.minimum(np.searchsorted(own[i], flat), len(own[i]) - 1)
         both = np.add.reduceat((own[i][place] == flat).astype(np.int64), at[:-1])
-        for j in np.flatnonzero(near & (100 * both >= PERCENT * (sizes + len(own[i]) - both))):
+        for j in np.flatnonzero(near & plan.similar(both, sizes + len(own[i]) - both)):
             p, q = parent[mine[i]], parent[theirs[j]]
             if p != q:
                 parent[parent == q] = p
@@ -189,29 +237,33 @@ def _links_between(one: pd.DataFrame, other: pd.DataFrame, same: bool) -> tuple[
     return left, right
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _compare(plan: Plan) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Links of each (cluster, i, j), of rows sorted by these; one group is held at a time."""
-    held: list[pd.DataFrame] = []
 
-    def links(frame: pd.DataFrame) -> Iterator[pa.RecordBatch]:
-        for (_, i, j), g in frame.groupby(["cluster", "i", "j"], sort=False):
-            one, other = g[g.block == i], g[g.block == j]
-            if len(one) and len(other):
-                left, right = _links_between(one, other, i == j)
-                yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pd.DataFrame] = []
 
-    for batch in batches:
-        for at in range(0, batch.num_rows, 1000):
-            frame = pd.concat([*held, batch.slice(at, 1000).to_pandas()])
-            last = frame.iloc[-1]
-            open_ = (frame.cluster == last.cluster) & (frame.i == last.i) & (frame.j == last.j)
-            held = [frame[open_]]
-            yield from links(frame[~open_])
-    if held:
-        yield from links(pd.concat(held))
+        def links(frame: pd.DataFrame) -> Iterator[pa.RecordBatch]:
+            for (_, i, j), g in frame.groupby(["cluster", "i", "j"], sort=False):
+                one, other = g[g.block == i], g[g.block == j]
+                if len(one) and len(other):
+                    left, right = _links_between(one, other, i == j, plan)
+                    yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
+
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1000):
+                frame = pd.concat([*held, batch.slice(at, 1000).to_pandas()])
+                last = frame.iloc[-1]
+                open_ = (frame.cluster == last.cluster) & (frame.i == last.i) & (frame.j == last.j)
+                held = [frame[open_]]
+                yield from links(frame[~open_])
+        if held:
+            yield from links(pd.concat(held))
+
+    return compared
 
 
-def _across(buckets: DataFrame, classes: DataFrame, labels: DataFrame, documents: DataFrame) -> DataFrame:
+def _across(buckets: DataFrame, classes: DataFrame, labels: DataFrame, documents: DataFrame, plan: Plan) -> DataFrame:
     """Links between different components that share a bucket.
 
     Buckets that hold several components are joined to clusters of classes. A cluster is compared in pairs
@@ -240,33 +292,34 @@ def _across(buckets: DataFrame, classes: DataFrame, labels: DataFrame, documents
                 F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
     )
     parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return dealt.repartition(parts, "cluster", "i", "j").sortWithinPartitions("cluster", "i", "j").mapInArrow(_compare, "a long, b long")
+    return dealt.repartition(parts, "cluster", "i", "j").sortWithinPartitions("cluster", "i", "j").mapInArrow(_compare(plan), "a long, b long")
 
 
-def near_groups(documents: DataFrame) -> DataFrame:
-    """Components of documents whose shingle sets have Jaccard similarity 0.85 or more.
+def near_groups(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Components of documents whose shingle sets have a Jaccard similarity of ``percent`` / 100 or more.
 
     Returns one row per input row: doc_id, n_shingles, component_id (the smallest doc_id reachable over
     links, itself included) and kept (doc_id = component_id). Null and empty texts have no shingles and
     link to nothing; texts of one to four words have one shingle, their whole sequence. Rows that repeat
     a doc_id are kept or dropped together; rows with one doc_id and different texts are one node. A row
     with a null doc_id cannot be named by a link: it stays, with a null component_id. Other columns play
-    no part. Links that both texts' signatures put beyond distance 23 are missed (see above).
+    no part. Links that both texts' signatures put beyond the plan's distance are missed (see above).
     """
+    plan = plan_for(percent)
     signed = stage(signatures(documents), "signatures")
     classes = stage(
         signed.filter("n_shingles > 0 and doc_id is not null").groupBy("set_print")
         .agg(F.min("doc_id").alias("rep"), F.first("signature").alias("signature")),
         "classes",
     )
-    keys = bucket_keys(classes)
+    keys = bucket_keys(classes, plan)
     pivots = keys.groupBy("key").agg(F.min("rep").alias("pivot"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     buckets = stage(keys.join(pivots.select("key", "pivot"), "key"), "buckets")
 
     star = buckets.filter("rep > pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
-    links = stage(_linked(_near(star, classes), documents), "links")
+    links = stage(_linked(_near(star, classes, plan), documents, plan), "links")
     labels = stage(connected(links), "labels")
-    more = stage(_across(buckets.select("key", "rep"), classes, labels, documents), "links")
+    more = stage(_across(buckets.select("key", "rep"), classes, labels, documents, plan), "links")
     joined = connected(links.union(more)) if not more.isEmpty() else labels
 
     members = signed.filter("doc_id is not null").select("doc_id", "n_shingles", "set_print")
@@ -282,7 +335,7 @@ def near_groups(documents: DataFrame) -> DataFrame:
     )
 
 
-def drop_near_copies(documents: DataFrame) -> DataFrame:
+def drop_near_copies(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The documents that ``near_groups`` keeps, with all their columns."""
-    dropped = near_groups(documents).filter(~F.col("kept")).select("doc_id").distinct()
+    dropped = near_groups(documents, percent).filter(~F.col("kept")).select("doc_id").distinct()
     return documents.join(dropped, "doc_id", "left_anti").select(*documents.columns)

@@ -25,7 +25,7 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.near_groups(read(spark, sf_dir, "documents"))
+    return near_dedup.near_groups(read(spark, sf_dir, "documents"), 85)
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
