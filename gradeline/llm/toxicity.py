@@ -3,14 +3,15 @@
 Words and their prefixes are hashed to embeddings; filters of several widths slide over the whole text, each keeps its
 largest value, and a linear layer turns these into a logit. The threshold is calibrated for each
 language, which is guessed from function words of the text, never read from a column: the logit is
-shifted so that the language's own threshold becomes a score of 0.3.
+shifted so that the language's own threshold becomes a score of 0.3. The thresholds come from all usable
+labelled rows that the weights were not fitted on, counted in Spark by language, label and cell of the logit.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 from gradeline.llm.decontaminate import plain
 from gradeline.llm.fitting import class_counts, fold, sample_ids
 from gradeline.llm.words import word_hashes
+from gradeline.sources.stage import stage
 
 #: Bounds of the sample that a model is fitted on: labelled rows of each class, and words of all of them.
 PER_CLASS = 2000
@@ -34,7 +36,12 @@ LEAST_DOCUMENTS = 4
 EPOCHS, BATCH, RATE = 5, 32, 0.01
 THRESHOLD = 0.3
 FOLDS, HELD_OUT = 4, 2
-LEAST_TOXIC = 25
+#: One usable row of RESERVED is never fitted, so that small tables have rows to calibrate on.
+RESERVED = 5
+#: A language's cut is the mean of its own, weighted by the rows of its rarer class, and of the global one, weighted by this.
+SHRINK = 25
+#: Logits are counted in cells: so many in one unit, up to this bound on either side.
+CELLS, BOUND = 64, 40
 
 # Frequent function words by language.
 FUNCTION_WORDS = {
@@ -80,7 +87,6 @@ class Network:
     output: np.ndarray
     bias: float
     known: np.ndarray
-    shifts: np.ndarray = field(default_factory=lambda: np.zeros(len(LANGUAGES)))
 
     def ids(self, hashes: np.ndarray) -> np.ndarray:
         """Rows of the embeddings for each word and its prefixes."""
@@ -107,10 +113,6 @@ class Network:
                 pooled[some, k * FILTERS:(k + 1) * FILTERS] = np.maximum.reduceat(total, offsets[:-1][some], axis=0)
         return np.maximum(pooled, 0) @ self.output + self.bias
 
-    def scores(self, hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        logit = self.logits(hashes, offsets) - self.shifts[languages(hashes[:, 0], offsets)]
-        return 1 / (1 + np.exp(-np.clip(logit + math.log(THRESHOLD / (1 - THRESHOLD)), -40, 40)))
-
 
 def _start(texts: list[np.ndarray], y: np.ndarray, rng: np.random.Generator) -> Network:
     """First weights: one embedding coordinate is the log-odds of the documents that hold the bucket."""
@@ -185,32 +187,47 @@ def train_network(texts: list[np.ndarray], y: np.ndarray, seed: int = 11) -> Net
     return net
 
 
-def _best_cut(logits: np.ndarray, y: np.ndarray, weight: np.ndarray) -> float:
-    """The cut between two logits with the largest F1 on weighted rows."""
-    order = np.argsort(-logits, kind="stable")
-    hits, taken = np.cumsum((weight * y)[order]), np.cumsum(weight[order])
-    f1 = 2 * hits / (taken + (weight * y).sum())
+def _best_cut(toxic: np.ndarray, rest: np.ndarray) -> float:
+    """The cut between two logits with the largest F1, from the weight of each class in each cell, lowest cell first."""
+    cells = np.flatnonzero(toxic + rest)[::-1]
+    hits = np.cumsum(toxic[cells])
+    f1 = 2 * hits / (hits + np.cumsum(rest[cells]) + toxic.sum())
     i = int(f1.argmax())
-    below = logits[order[i + 1]] if i + 1 < len(order) else logits[order[i]] - 1
-    return float((logits[order[i]] + below) / 2)
-
-
-def fit(texts: list[np.ndarray], y: np.ndarray, share: float) -> Network:
-    """Train on four fifths of the rows and calibrate on the rest, weighted to the share of toxic rows."""
-    rest = np.arange(len(texts)) % 5 == 4
-    net = train_network([t for t, r in zip(texts, rest) if not r], y[~rest])
-    checked, own = [t for t, r in zip(texts, rest) if r], y[rest]
-    offsets = np.cumsum([0] + [len(t) for t in checked])
-    hashes = np.concatenate([np.zeros((0, COLUMNS), np.uint64), *checked])
-    logits, spoken = net.logits(hashes, offsets), languages(hashes[:, 0], offsets)
-    weight = np.where(own == 1, share / max(1, own.sum()), (1 - share) / max(1, (1 - own).sum()))
-    if 0 < own.sum() < len(own):
-        net.shifts[:] = _best_cut(logits, own, weight)
-        for i in range(len(LANGUAGES)):
-            mine = spoken == i
-            if min(own[mine].sum(), (1 - own[mine]).sum()) >= LEAST_TOXIC:
-                net.shifts[i] = _best_cut(logits[mine], own[mine], weight[mine])
-    return net
+    below = cells[i + 1] if i + 1 < len(cells) else cells[i] - 2 * CELLS
+    return float((cells[i] + below) / 2 / CELLS - BOUND)
+
+
+def shifts_from(counts: np.ndarray, share: float) -> np.ndarray:
+    """The cut of each language, from counts by (language, label, cell), weighted to the share of toxic rows.
+
+    A language without rows of both classes has the global cut. Where no language has, nothing is shifted.
+    """
+    of_class = counts.sum(axis=(0, 2))
+    if not of_class.all():
+        return np.zeros(len(counts))
+    weighted = counts * (np.array([1 - share, share]) / of_class)[None, :, None]
+    common = _best_cut(weighted[:, 1].sum(axis=0), weighted[:, 0].sum(axis=0))
+    shifts = np.full(len(counts), common)
+    for i, n in enumerate(counts.sum(axis=2).min(axis=1)):
+        if n:
+            shifts[i] = (n * _best_cut(weighted[i, 1], weighted[i, 0]) + SHRINK * common) / (n + SHRINK)
+    return shifts
+
+
+def calibrate(raw: DataFrame, usable: DataFrame, fitted: list[int], share: float) -> np.ndarray:
+    """The cut of each language from the logits of all usable labelled rows but the fitted ones."""
+    # At most 2 * PER_CLASS ids.
+    known = raw.sparkSession.createDataFrame([(i,) for i in fitted], "doc_id long")
+    own = usable.filter(F.col("toxic").isin(0, 1)).select("doc_id", F.col("toxic").cast("int").alias("y")).distinct()
+    cell = F.round((F.least(F.greatest("logit", F.lit(-BOUND)), F.lit(BOUND)) + BOUND) * CELLS).cast("int")
+    found = (
+        own.join(F.broadcast(known), "doc_id", "left_anti").join(raw, "doc_id")
+        .groupBy("language", "y", cell.alias("cell")).count().collect()
+    )
+    counts = np.zeros((len(LANGUAGES), 2, 2 * BOUND * CELLS + 1))
+    for r in found:
+        counts[r.language, r.y, r.cell] = r["count"]
+    return shifts_from(counts, share)
 
 
 def _hash(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,48 +240,75 @@ def _hash(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             start += n
 
 
-def train(documents: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, fit_words: int = FIT_WORDS) -> Network | float:
-    """A network from labelled rows outside the held-out fold, or the constant score where a class is missing."""
-    usable = labels.filter(fold(F.col("doc_id"), FOLDS) != HELD_OUT)
+def _usable(labels: DataFrame) -> DataFrame:
+    return labels.filter(fold(F.col("doc_id"), FOLDS) != HELD_OUT)
+
+
+def train(documents: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, fit_words: int = FIT_WORDS) -> tuple[Network | float, list[int], float]:
+    """A network from labelled rows outside the held-out fold, or the constant score where a class is missing.
+
+    Also the ids of the fitted rows and the share of toxic rows among the usable labels.
+    """
+    usable = _usable(labels)
     counts = class_counts(usable, "toxic")
     if counts.get(0, 0) == 0 or counts.get(1, 0) == 0:
-        return 0.5 if not counts else float(max(counts))
-    ids = sample_ids(usable, "toxic", per_class)
+        return 0.5 if not counts else float(max(counts)), [], 0.0
+    fitting = usable.filter(F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(RESERVED)) != 0)
+    if len(class_counts(fitting, "toxic")) < 2:
+        fitting = usable
+    ids = sample_ids(fitting, "toxic", per_class)
     # At most 2 * per_class ids of 12 bytes: small at any size of the input.
     hashed = documents.select("doc_id", "text").join(F.broadcast(ids), "doc_id").mapInArrow(_hash, "doc_id long, y int, x binary")
-    texts, y, words = [], [], 0
+    texts, y, fitted, words = [], [], [], 0
     for r in hashed.orderBy(F.md5(F.col("doc_id").cast("string")), "y", "x").toLocalIterator():
         words += len(r.x) // (8 * COLUMNS)
         if words > fit_words:
             break
         texts.append(np.frombuffer(bytes(r.x), np.uint64).reshape(-1, COLUMNS))
         y.append(r.y)
+        fitted.append(r.doc_id)
     if len(set(y)) < 2:
-        return 0.5
-    return fit(texts, np.array(y), counts[1] / (counts[0] + counts[1]))
+        return 0.5, [], 0.0
+    return train_network(texts, np.array(y)), sorted(set(fitted)), counts[1] / (counts[0] + counts[1])
 
 
 def score(documents: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, fit_words: int = FIT_WORDS) -> DataFrame:
     """doc_id, held_out, score and predicted for every document row; only the text enters a score.
 
     The fit uses at most ``per_class`` labelled rows of each class with at most ``fit_words`` words in
-    all, outside the fold crc32(doc_id) % 4 = 2. Null and empty texts get the score of a text without
-    words. A null doc_id is not held out. Null labels are ignored; where a class has no label, every
-    score is the other class (0.5 without labels). Repeated rows score alike; other columns play no part.
+    all, outside the fold crc32(doc_id) % 4 = 2; all other labelled rows outside the fold set the
+    thresholds. Null and empty texts get the score of a text without words. A null doc_id is not held
+    out. Null labels are ignored; where a class has no label, every score is the other class (0.5 without
+    labels). Repeated rows score alike; other columns play no part.
     """
-    model = documents.sparkSession.sparkContext.broadcast(train(documents, labels, per_class, fit_words))
+    net, fitted, share = train(documents, labels, per_class, fit_words)
+    if isinstance(net, float):
+        scored = documents.select("doc_id", F.lit(net).alias("score"))
+    else:
+        raw = stage(_logits(documents, net), "logits")
+        shifts = calibrate(raw, _usable(labels), fitted, share)
+        shift = F.element_at(F.array(*map(F.lit, shifts.tolist())), F.col("language") + 1)
+        logit = F.col("logit") - shift + math.log(THRESHOLD / (1 - THRESHOLD))
+        scored = raw.select("doc_id", (1 / (1 + F.exp(-F.least(F.greatest(logit, F.lit(-40.0)), F.lit(40.0))))).alias("score"))
+    return scored.select(
+        "doc_id", F.coalesce(fold(F.col("doc_id"), FOLDS) == HELD_OUT, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+def _logits(documents: DataFrame, net: Network) -> DataFrame:
+    """doc_id, language and logit of every document row."""
+    model = documents.sparkSession.sparkContext.broadcast(net)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net = model.value
         for batch in batches:
             start = 0
             for n, hashes, offsets in word_hashes([plain(t) for t in batch.column(1).to_pylist()], PREFIXES):
-                found = np.full(n, net) if isinstance(net, float) else net.scores(hashes, offsets)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, n), pa.array(found, pa.float64())], names=["doc_id", "score"])
+                spoken, found = languages(hashes[:, 0], offsets), model.value.logits(hashes, offsets)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(start, n), pa.array(spoken, pa.int32()), pa.array(found, pa.float64())],
+                    names=["doc_id", "language", "logit"],
+                )
                 start += n
 
-    scored = documents.select("doc_id", "text").mapInArrow(apply, "doc_id long, score double")
-    return scored.select(
-        "doc_id", F.coalesce(fold(F.col("doc_id"), FOLDS) == HELD_OUT, F.lit(False)).alias("held_out"), "score",
-        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
-    )
+    return documents.select("doc_id", "text").mapInArrow(apply, "doc_id long, language int, logit double")
