@@ -9,6 +9,7 @@ labelled rows that the weights were not fitted on, counted in Spark by language,
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -23,7 +24,7 @@ from gradeline.llm.fitting import class_counts, fold, sample_ids
 from gradeline.llm.words import word_hashes
 from gradeline.sources.stage import stage
 
-#: Bounds of the sample that a model is fitted on: labelled rows of each class, and words of all of them.
+#: Bounds of the sample that a model is fitted on: labelled rows of each class, and words of both, half for each class.
 PER_CLASS = 2000
 FIT_WORDS = 5_000_000
 BUCKETS = 1 << 17
@@ -240,6 +241,40 @@ def _hash(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             start += n
 
 
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        start = 0
+        for n, _, offsets in word_hashes([plain(t) for t in batch.column("text").to_pylist()]):
+            part = batch.slice(start, n)
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id"), part.column("y"), pa.array(np.diff(offsets), pa.int64())], names=["doc_id", "y", "words"]
+            )
+            start += n
+
+
+def fitting_rows(candidates: DataFrame, fit_words: int) -> list[tuple[int, int]]:
+    """(doc_id, y) of the rows of doc_id, text and y that are fitted, in digest order of the id.
+
+    A row that takes its class over half of ``fit_words`` is left out, and later ones that fit are taken.
+    Where no row of a class fits, its shortest is taken. Rows that repeat an id are taken together; a row
+    without words counts as one word.
+    """
+    counted = candidates.mapInArrow(_count, "doc_id long, y int, words long").groupBy("doc_id", "y")
+    sizes = counted.agg(F.sum(F.greatest("words", F.lit(1))).alias("words")).collect()
+    chosen = []
+    for y in (0, 1):
+        own = sorted((r for r in sizes if r.y == y), key=lambda r: (hashlib.md5(str(r.doc_id).encode()).digest(), r.doc_id))
+        taken, words = [], 0
+        for r in own:
+            if words + r.words <= fit_words // 2:
+                taken.append((r.doc_id, y))
+                words += r.words
+        if own and not taken:
+            taken = [(min(own, key=lambda r: r.words).doc_id, y)]
+        chosen += taken
+    return chosen
+
+
 def _usable(labels: DataFrame) -> DataFrame:
     return labels.filter(fold(F.col("doc_id"), FOLDS) != HELD_OUT)
 
@@ -258,12 +293,12 @@ def train(documents: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, f
         fitting = usable
     ids = sample_ids(fitting, "toxic", per_class)
     # At most 2 * per_class ids of 12 bytes: small at any size of the input.
-    hashed = documents.select("doc_id", "text").join(F.broadcast(ids), "doc_id").mapInArrow(_hash, "doc_id long, y int, x binary")
-    texts, y, fitted, words = [], [], [], 0
+    candidates = documents.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+    chosen = fitting_rows(candidates, fit_words)
+    known = documents.sparkSession.createDataFrame(chosen, "doc_id long, y int")
+    hashed = documents.select("doc_id", "text").join(F.broadcast(known), "doc_id").mapInArrow(_hash, "doc_id long, y int, x binary")
+    texts, y, fitted = [], [], []
     for r in hashed.orderBy(F.md5(F.col("doc_id").cast("string")), "y", "x").toLocalIterator():
-        words += len(r.x) // (8 * COLUMNS)
-        if words > fit_words:
-            break
         texts.append(np.frombuffer(bytes(r.x), np.uint64).reshape(-1, COLUMNS))
         y.append(r.y)
         fitted.append(r.doc_id)
@@ -275,8 +310,8 @@ def train(documents: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, f
 def score(documents: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, fit_words: int = FIT_WORDS) -> DataFrame:
     """doc_id, held_out, score and predicted for every document row; only the text enters a score.
 
-    The fit uses at most ``per_class`` labelled rows of each class with at most ``fit_words`` words in
-    all, outside the fold crc32(doc_id) % 4 = 2; all other labelled rows outside the fold set the
+    The fit uses at most ``per_class`` labelled rows of each class, with at most half of
+    ``fit_words`` words (or one longer text), outside the fold crc32(doc_id) % 4 = 2; all other labelled rows outside the fold set the
     thresholds. Null and empty texts get the score of a text without words. A null doc_id is not held
     out. Null labels are ignored; where a class has no label, every score is the other class (0.5 without
     labels). Repeated rows score alike; other columns play no part.
