@@ -89,4 +89,59 @@ select page_id, host, path, arg_max(rule, length(rule)) as rule, coalesce(arg_ma
 from fits group by page_id, host, path
 """
 
-ORACLES = {"op1_warc": OP1, "op2_mixing": OP2, "op3_near_dedup": OP3, "op6_substring_dedup": OP6, "op8_exact_dedup": OP8, "op10_url_filter": OP10}
+OP11 = rf"""
+with lines as (select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
+    unnest(range(1, len(string_split(coalesce(text, ''), chr(10))) + 1)) as i from documents),
+keyed as (select *, {LOWER.format(r"regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g')")} as key from lines),
+repeated as (select key, max(doc_id) as keep from keyed where length(key) >= 40 group by key having count(distinct doc_id) >= 5),
+judged as (select k.*, r.key is not null and doc_id <> keep as gone from keyed k left join repeated r using (key))
+select doc_id, count(*) as n_lines, count(*) filter (where gone) as n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) order by i) filter (where not gone), '')) as kept_sha256 from judged group by doc_id
+"""
+
+TERMS = r"regexp_extract_all({0}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')".format(LOWER.format("text"))
+OP12 = f"""
+with d as (select doc_id, {TERMS} as ts from documents),
+docs as (select doc_id, len(ts) as n from d where len(ts) > 0),
+tf as (select doc_id, term, count(*) as tf from (select doc_id, unnest(ts) as term from d) group by all),
+whole as (select count(*) as n_docs, sum(n)::BIGINT as n_all from docs),
+asked as (select item_id, term, count(*) as q from (select item_id, unnest({TERMS}) as term from benchmark) group by all),
+weights as (select term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT as w
+  from tf, whole group by term, n_docs),
+m as (select doc_id, 75 + (25 * n * n_docs) // n_all as m from docs, whole),
+scores as (select item_id, doc_id, sum(q * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT as score
+  from asked join weights using (term) join tf using (term) join m using (doc_id) group by all)
+select item_id, row_number() over (partition by item_id order by score desc, doc_id)::INT as rank, doc_id, score
+from scores where score > 0 qualify rank <= 20
+"""
+
+OP13 = f"""
+with t as (select conv_id, turn, coalesce(role, '') as r, coalesce(text, '') as body, {WORDS}::BIGINT as n from conversations),
+coded as (select conv_id, turn, n, sha256(concat(length(r), ':', r, ':', body)) as id from t),
+own as (select conv_id, list({{'id': id, 'n': n}} order by turn nulls first, id) as ts from coded group by conv_id),
+h as (select *, conv_id - conv_id % 20 as head,
+  (with recursive c(i, crc) as (select 0, 4294967295::UBIGINT union all
+     select i + 1, case when i % 9 = 0 then xor(crc, ord(substr(conv_id::VARCHAR, i // 9 + 1, 1))::UBIGINT)
+       when crc % 2 = 1 then xor(crc >> 1, 3988292384::UBIGINT) else crc >> 1 end
+     from c where i < 9 * length(conv_id::VARCHAR))
+   select xor(max_by(crc, i), 4294967295::UBIGINT) % 4 from c)::BIGINT as h from own),
+seqs as (select h.conv_id, list_concat(coalesce(b.ts[1:h.h], []), h.ts[h.h + 1:]) as ts from h left join own b on b.conv_id = h.head),
+member as (select conv_id, unnest(range(0, len(ts) + 1)) as depth, ts from seqs),
+keyed as (select conv_id, depth, len(ts) as own_depth, md5(array_to_string(list_transform(ts[1:depth], lambda x: x.id), '/')) as k,
+  case when depth > 0 then ts[depth].n else 0 end as n from member),
+nodes as (select k, depth, min(conv_id) as conv_id, count(*) as n_convs, (count(*) - 1) * any_value(n) as own,
+  sha256(coalesce(string_agg(conv_id::VARCHAR, ',' order by conv_id) filter (where own_depth = depth), '')) as ends_sha256 from keyed group by all),
+above as (select x.k, x.depth, y.k as pk, y.depth as pd from nodes x join keyed y on x.conv_id = y.conv_id and y.depth <= x.depth),
+parents as (select a.k, a.depth, p.conv_id as parent_conv_id, a.pk from above a join nodes p on p.k = a.pk and p.depth = a.pd where a.pd = a.depth - 1),
+kids as (select pk, depth - 1 as d, count(*) as n_children from parents group by all),
+sums as (select a.pk, a.pd, sum(n.own)::BIGINT as saved, count(*) filter (where kids.pk is null) as leaves
+  from above a join nodes n using (k, depth) left join kids on kids.pk = n.k and kids.d = n.depth group by all)
+select nodes.conv_id, nodes.depth, parent_conv_id, n_convs, coalesce(n_children, 0) as n_children, leaves as n_leaves, saved as saved_tokens, ends_sha256
+from nodes join sums on nodes.k = sums.pk and nodes.depth = sums.pd
+left join parents on parents.k = nodes.k and parents.depth = nodes.depth left join kids on kids.pk = nodes.k and kids.d = nodes.depth
+"""
+
+ORACLES = {
+    "op1_warc": OP1, "op2_mixing": OP2, "op3_near_dedup": OP3, "op6_substring_dedup": OP6, "op8_exact_dedup": OP8, "op10_url_filter": OP10,
+    "op11_line_dedup": OP11, "op12_ranked_search": OP12, "op13_prefix_trie": OP13,
+}

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gradeline.llm import (
-    chunk_dedup, decontaminate, mixing, near_dedup, quality, suffix_dedup, token_scan, toxicity, url_filter, warc,
+    chunk_dedup, decontaminate, line_dedup, mixing, near_dedup, prefix_trie, quality, ranked_search, suffix_dedup, token_scan, toxicity,
+    url_filter, warc,
 )
 from gradeline.llm.common import read
 
@@ -58,10 +59,24 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.apply_rules(read(spark, sf_dir, "pages"), rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.drop_repeated_lines(read(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.rank_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_nodes(prefix_trie.rebuild(prefix_trie.encode(read(spark, sf_dir, "conversations"))))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_warc, op2_mixing, op3_near_dedup, op4_quality, op5_toxicity, op6_substring_dedup,
         op7_decontaminate, op8_exact_dedup, op9_token_counts, op10_url_filter,
+        op11_line_dedup, op12_ranked_search, op13_prefix_trie,
     )
 }
