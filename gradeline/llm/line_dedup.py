@@ -187,7 +187,9 @@ def drop_repeated_lines(
     repeated = doubtful.groupBy("key").agg(F.count_distinct("doc_id").alias("n"), F.max("doc_id").alias("keep")).filter(
         F.col("n") >= least_documents
     )
-    lost = doubtful.join(repeated.select(F.col("key").alias("k"), "keep"), (F.col("key") == F.col("k")) & (F.col("doc_id") != F.col("keep")))
+    # Staged, so that both sides of the join are dealt anew and Spark can split a key that very many documents hold.
+    repeated = stage(repeated.select(F.col("key").alias("k"), "keep"), "repeated")
+    lost = doubtful.join(repeated, (F.col("key") == F.col("k")) & (F.col("doc_id") != F.col("keep")))
     gone = stage(lost.groupBy("doc_id").agg(F.collect_set("key").alias("keys")).select(F.col("doc_id").alias("owner"), "keys"), "gone")
 
     # Documents that the filter of owners holds back lose nothing; they do not move.
