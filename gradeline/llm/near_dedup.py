@@ -10,9 +10,9 @@ with 0.80 differ in 12 on average and in more than 29 with probability 2e-7. Pai
 threshold are then checked on their full shingle sets.
 
 Documents with equal sets are one class from the start. In a bucket (the classes with one key) every
-class meets the smallest first, not each other. Where a bucket still holds several components, its
-classes are compared in blocks of bounded size, and only confirmed links leave the block; a pair inside
-one component can add nothing.
+class meets the smallest first, not each other. Where a bucket still holds several components, their signatures
+are compared in blocks; those under the distance are compared by their texts, again in blocks of bounded size, and
+only confirmed links leave the block. A pair inside one component can add nothing.
 """
 
 from __future__ import annotations
@@ -42,6 +42,8 @@ PER_CHUNK = (5, 4, 3)
 MISSED = 1e-5
 #: Bounds of a block: rows and characters (one text may be longer).
 BLOCK, BLOCK_CHARS = 512, 16_000_000
+#: Rows of a block where only signatures are compared.
+SIGN_BLOCK = 4096
 _U = np.uint64
 
 
@@ -208,7 +210,7 @@ def _linked(pairs: DataFrame, documents: DataFrame, plan: Plan) -> DataFrame:
 
 
 def _links_between(one: pd.DataFrame, other: pd.DataFrame, same: bool, plan: Plan) -> tuple[list[int], list[int]]:
-    """Links between rows of different components in two blocks, confirmed on full sets.
+    """Labels of different components that a link between rows of two blocks joins, confirmed on full sets.
 
     Each link joins its components at once, so that a later pair inside one adds nothing.
     """
@@ -232,8 +234,8 @@ def _links_between(one: pd.DataFrame, other: pd.DataFrame, same: bool, plan: Pla
             p, q = parent[mine[i]], parent[theirs[j]]
             if p != q:
                 parent[parent == q] = p
-                left.append(int(one.rep.iloc[i]))
-                right.append(int(other.rep.iloc[j]))
+                left.append(int(one.label.iloc[i]))
+                right.append(int(other.label.iloc[j]))
     return left, right
 
 
@@ -263,23 +265,86 @@ def _compare(plan: Plan) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
     return compared
 
 
-def _across(buckets: DataFrame, classes: DataFrame, labels: DataFrame, documents: DataFrame, plan: Plan) -> DataFrame:
-    """Links between different components that share a bucket.
+def _sorted_groups(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[pd.DataFrame]:
+    """The groups of sorted rows; one group is held at a time."""
+    held: list[pd.DataFrame] = []
+    for batch in batches:
+        frame = pd.concat([*held, batch.to_pandas()], ignore_index=True)
+        keys = frame[by].to_numpy()
+        cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist()]
+        for a, b in zip(cuts, cuts[1:]):
+            yield frame.iloc[a:b]
+        held = [frame.iloc[cuts[-1]:]] if len(frame) else []
+    if held:
+        yield held[0]
+
+
+def _near_pairs(plan: Plan) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Pairs (a, b) of different components under the distance: of each (key, i, j) a spanning forest of them."""
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for g in _sorted_groups(batches, ["key", "i", "j"]):
+            signs = np.frombuffer(b"".join(g.signature), np.uint16).reshape(-1, SYMBOLS)
+            labels, block, rep = g.label.to_numpy(), g.block.to_numpy(), g.rep.to_numpy()
+            i, j = int(g.i.iloc[0]), int(g.j.iloc[0])
+            parent, left, right = np.arange(len(g)), [], []
+            for x in np.flatnonzero(block == i):
+                others = (block == j) & (labels != labels[x])
+                if i == j:
+                    others[:x + 1] = False
+                others = np.flatnonzero(others)
+                for y in others[(signs[others] != signs[x]).sum(axis=1) <= plan.distance]:
+                    if parent[x] != parent[y]:
+                        parent[parent == parent[y]] = parent[x]
+                        left.append(int(rep[x]))
+                        right.append(int(rep[y]))
+            if left:
+                yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
+
+    return pairs
+
+
+def _deal(rows: DataFrame) -> DataFrame:
+    """Rows (key, rep, label, signature) of mixed buckets as (key, i, j): the pairs of blocks that must meet.
+
+    Rows of a bucket's largest component meet only the others, so they are dealt once for each block of others,
+    which is one as a rule. Their blocks have negative numbers.
+    """
+    per = rows.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
+    sizes = per.groupBy("key").agg(F.sum("n").alias("n"), F.max(F.struct("n", "label")).alias("top")).select(
+        F.col("key").alias("k"), F.col("top.label").alias("top"),
+        F.ceil((F.col("n") - F.col("top.n")) / SIGN_BLOCK).cast("int").alias("few"), F.ceil(F.col("top.n") / SIGN_BLOCK).cast("int").alias("many"),
+    )
+    placed = rows.join(sizes, F.col("key") == F.col("k"))
+    large = F.col("label") == F.col("top")
+    block = F.when(large, -1 - F.pmod(F.xxhash64("rep"), F.col("many"))).otherwise(F.pmod(F.xxhash64("rep"), F.col("few"))).cast("int")
+    meets = F.when(large, F.sequence(F.lit(0), F.col("few") - 1)).otherwise(F.sequence(-F.col("many"), F.col("few") - 1))
+    return placed.withColumn("block", block).withColumn("other", F.explode(meets)).select(
+        "key", "rep", "label", "signature", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")
+    )
 
-    Buckets that hold several components are joined to clusters of classes. A cluster is compared in pairs
-    of blocks, each of bounded rows and characters, and only confirmed links leave a block.
+
+def _across(buckets: DataFrame, classes: DataFrame, labels: DataFrame, documents: DataFrame, plan: Plan) -> DataFrame | None:
+    """(a, b): labels of different components that a link joins, or None where no signatures of such are near.
+
+    In the buckets that hold several components signatures are compared first; texts move only for the classes
+    that are near one of another component. These are joined to clusters, and a cluster is compared in pairs of
+    blocks, each of bounded rows and characters; only confirmed links leave a block.
     """
+    spark = documents.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # Nodes without an edge are their own label.
     named = buckets.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
-    mixed = (
-        named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("rep").alias("first"))
-        .filter("lo < hi").select("key", "first")
-    )
-    rows = stage(named.select("key", "rep", "label").join(mixed, "key").select("rep", "label", "first").distinct(), "mixed")
-    clusters = connected(rows.select(F.col("first").alias("a"), F.col("rep").alias("b")))
-    clusters = clusters.select(F.col("node").alias("rep"), F.col("label").alias("cluster"))
-    members = rows.select("rep", "label").distinct().join(clusters, "rep").join(classes.select("rep", "signature"), "rep")
-    texts = _texts_of(documents, rows.select(F.col("rep").alias("doc_id")).distinct()).withColumnRenamed("doc_id", "rep")
+    mixed = named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("key")
+    rows = stage(named.join(mixed, "key").join(classes.select("rep", "signature"), "rep"), "mixed")
+    order = ["key", "i", "j"]
+    near = _deal(rows).repartition(parts, *order).sortWithinPartitions(*order).mapInArrow(_near_pairs(plan), "a long, b long")
+    near = stage(near.distinct(), "near")
+    if near.isEmpty():
+        return None
+    clusters = connected(near).withColumnsRenamed({"node": "rep", "label": "cluster"})
+    members = rows.select("rep", "label", "signature").dropDuplicates(["rep"]).join(clusters, "rep")
+    texts = _texts_of(documents, clusters.select(F.col("rep").alias("doc_id"))).withColumnRenamed("doc_id", "rep")
     members = stage(members.join(texts, "rep"), "members")
     sizes = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.sum(F.char_length("text")).alias("chars")).select(
         "cluster", F.ceil(F.greatest(F.col("n") / BLOCK, F.col("chars") / BLOCK_CHARS)).cast("int").alias("blocks")
@@ -291,7 +356,6 @@ def _across(buckets: DataFrame, classes: DataFrame, labels: DataFrame, documents
         .select("cluster", "rep", "label", "signature", "text", "block",
                 F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
     )
-    parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return dealt.repartition(parts, "cluster", "i", "j").sortWithinPartitions("cluster", "i", "j").mapInArrow(_compare(plan), "a long, b long")
 
 
@@ -319,13 +383,15 @@ def near_groups(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     star = buckets.filter("rep > pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
     links = stage(_linked(_near(star, classes, plan), documents, plan), "links")
     labels = stage(connected(links), "labels")
-    more = stage(_across(buckets.select("key", "rep"), classes, labels, documents, plan), "links")
-    joined = connected(links.union(more)) if not more.isEmpty() else labels
+    more = _across(buckets.select("key", "rep"), classes, labels, documents, plan)
+    rep = classes.select(F.col("set_print").alias("p"), "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
+        "p", F.coalesce("label", "rep").alias("component")
+    )
+    if more is not None:
+        joined = connected(more).select(F.col("node").alias("component"), F.col("label").alias("whole"))
+        rep = rep.join(joined, "component", "left").select("p", F.coalesce("whole", "component").alias("component"))
 
     members = signed.filter("doc_id is not null").select("doc_id", "n_shingles", "set_print")
-    rep = classes.select(F.col("set_print").alias("p"), "rep").join(
-        joined.select(F.col("node").alias("rep"), "label"), "rep", "left"
-    ).select("p", F.coalesce("label", "rep").alias("component"))
     found = members.join(rep, (F.col("set_print") == F.col("p")) & (F.col("n_shingles") > 0), "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")
     )
