@@ -283,6 +283,26 @@ def insert_rows(base: DataFrame, rows: DataFrame, spec: ChangeSpec) -> DataFrame
     ), allowMissingColumns=True)
 
 
+def derived_ids(changes: DataFrame, spec: ChangeSpec) -> DataFrame:
+    """Changes whose absent ids are made from their content, so that a repeated message gets the same one.
+
+    The id is the MD5 of key, time (microseconds), operation and values, written as a UUID; a part that is NULL
+    differs from an empty one. Equal changes without an id are taken for one message that came twice.
+    """
+    parts = [F.col(spec.key), F.unix_micros(F.col("change_time").cast("timestamp")), F.col("operation"), *[F.col(f) for f in spec.fields]]
+    digest = F.md5(F.concat_ws("|", *[F.coalesce(F.concat(F.lit("="), p.cast("string")), F.lit("-")) for p in parts]))
+    cuts = ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))
+    made = F.concat_ws("-", *[F.substring(digest, at, n) for at, n in cuts])
+    return changes.withColumn("change_id", F.coalesce("change_id", made))
+
+
+def first_of_each_id(changes: DataFrame) -> DataFrame:
+    """One change per id: the earliest, and of equally early different ones always the same."""
+    columns = [F.col(c) for c in changes.columns]
+    first = F.min_by(F.struct(*columns), F.struct("change_time", F.xxhash64(*columns)))
+    return changes.groupBy("change_id").agg(first.alias("_first")).select("_first.*")
+
+
 def last_values(changes: DataFrame, spec: ChangeSpec) -> DataFrame:
     """The last given value of every field per key."""
     return changes.groupBy(spec.key).agg(*[_last(F.col(f)).alias(f) for f in spec.fields])

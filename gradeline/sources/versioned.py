@@ -91,14 +91,17 @@ class VersionedTable:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*paths)
 
-    def log(self) -> DataFrame:
-        """Outcome of every committed change."""
+    def log_schema(self) -> str:
         key_type = self.schema()[self.spec.key].dataType.simpleString()
-        schema = (
+        return (
             f"change_id string, record_id {key_type}, operation string, change_time timestamp, "
             "old_data string, new_data string, changed_fields string, user_triggered boolean, "
             "outcome string, detail string, version long"
         )
+
+    def log(self) -> DataFrame:
+        """Outcome of every committed change."""
+        schema = self.log_schema()
         try:
             log = self.spark.read.schema(schema).parquet(f"{self.root}/log")
         except AnalysisException:
@@ -144,15 +147,16 @@ class VersionedTable:
         return self.log().where(F.col("version") == F.lit(version))
 
     def _new_changes(self, changes: DataFrame) -> DataFrame:
-        """One row per change id, without the ids the log knows; inserts without a key get one."""
-        given = stage(changes, "batch")
-        has_id = F.col("change_id").isNotNull()
-        named = given.where(has_id).dropDuplicates(["change_id"])
+        """One row per change id, the earliest one, without the ids the log knows.
+
+        A change without an id gets one, and an insert without a key the next key; both are fixed by the write.
+        """
+        given = stage(changes.withColumn("change_id", F.coalesce("change_id", F.uuid())), "batch")
+        named = ops.first_of_each_id(given)
         # The written batch has a known size: a small one is broadcast into the log scan.
-        ids = given.where(has_id).select("change_id")
+        ids = given.select("change_id")
         seen = self.log().select("change_id").join(ids, "change_id", "left_semi")
-        fresh = named.join(seen, "change_id", "left_anti").unionByName(given.where(~has_id))
-        fresh = stage(fresh, "fresh")
+        fresh = stage(named.join(seen, "change_id", "left_anti"), "fresh")
         lacks_key = (F.col("operation") == "insert") & F.col(self.spec.key).isNull()
         if fresh.where(lacks_key).isEmpty():
             return fresh
