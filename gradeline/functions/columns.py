@@ -23,6 +23,8 @@ LOG_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 REPORT_TIME_FORMAT = "yyyy-MM-dd HH:mm"
 CLASS_NAMES = {0: "bad", 1: "good"}
 
+# Fixed value: a date, a time with or without seconds and fraction, an offset.
+TIME_PATTERN = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?([+-]\d{2}:?\d{2})?)?$"
 HASH_DIGITS = 13  # 52 bits: every hash is exactly representable as a double
 
 
@@ -109,11 +111,12 @@ def first_missing(fields: Sequence[tuple[str, Column]]) -> Column:
 
 
 def parse_time(c: Column) -> Column:
-    """ISO or ``yyyy-MM-dd HH:mm:ss`` text to timestamp; a trailing Z is ignored; NULL when unreadable."""
+    """ISO or ``yyyy-MM-dd HH:mm:ss`` text to timestamp; a trailing Z is ignored; NULL when unreadable.
+
+    The whole text must be a date, with or without a time; a time of day, a year or a month alone is unreadable.
+    """
     text = F.regexp_replace(F.trim(c), "Z$", "")
-    return F.coalesce(
-        F.try_to_timestamp(text, F.lit(LOG_TIME_FORMAT)), F.try_to_timestamp(text)
-    )
+    return F.when(text.rlike(TIME_PATTERN), F.try_to_timestamp(text))
 
 
 def parse_string_list(c: Column) -> Column:

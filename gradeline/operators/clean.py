@@ -73,6 +73,15 @@ def clean(df: DataFrame, spec: TableSpec) -> DataFrame:
     return drop_nulls(rows)
 
 
+def numeric_text(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Text columns of ``cols`` whose values are all numbers as doubles; one aggregate decides for all of them."""
+    texts = [c for c in cols if isinstance(df.schema[c].dataType, T.StringType)]
+    if not texts:
+        return df
+    other = df.agg(*[F.count_if(F.col(c).isNotNull() & C.to_number(F.col(c)).isNull()).alias(c) for c in texts]).first()
+    return df.withColumns({c: C.to_number(F.col(c)) for c in texts if other[c] == 0})
+
+
 def iqr_bounds(
     df: DataFrame, cols: Sequence[str]
 ) -> dict[str, tuple[float, float, float, float] | None]:
@@ -93,11 +102,13 @@ def remove_outliers(
     The limits of the columns done so far are plain literals in the filter, so
     every pass is one scan with a pushed-down filter and nothing is cached.
     ``staged=True`` writes the input once, since it is read once per column;
-    pass False for a frame that is cheap to read again. A text column that
-    holds no numbers is left alone. ``include_label`` also filters the label.
+    pass False for a frame that is cheap to read again. A text column whose
+    values are all numbers becomes one; a text column with any other value is
+    left alone. ``include_label`` also filters the label.
     """
-    names = list(spec.feature_cols) + ([spec.label_col] if include_label else [])
-    names = [c for c in names if c in df.columns and c in numeric_columns(df)]
+    names = [c for c in [*spec.feature_cols, *([spec.label_col] if include_label else [])] if c in df.columns]
+    df = numeric_text(df, names)
+    names = [c for c in names if c in numeric_columns(df)]
     rows = stage(df, "outliers") if staged else df
     for c in names:
         bounds = iqr_bounds(rows, [c])[c]

@@ -10,6 +10,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gradeline.operators.ranks import number_rows, values_at
 
@@ -39,16 +40,19 @@ def slice_rows(
     id_col: str,
     offset: int,
     limit: int | None,
-    ties: Sequence[str] = (),
+    ties: Sequence[str] | None = None,
     top_rows: int = TOP_ROWS,
 ) -> DataFrame:
     """Rows ``offset`` to ``offset + limit`` in id order; ids of any type, NaN behind the numbers, NULL last.
 
     A top-k carries every row before its end to one task. Where these are more
     than ``top_rows``, the ids at both ends are found first and the slice
-    becomes a range filter on the id, with the same rows in the same order;
-    rows of equal id are ordered by ``ties`` and are otherwise interchangeable.
+    becomes a range filter on the id, with the same rows in the same order.
+    Rows of equal id are ordered by ``ties``, by default all other columns that
+    have an order, so that either way takes the same ones.
     """
+    if ties is None:
+        ties = [f.name for f in df.schema if f.name != id_col and not isinstance(f.dataType, (T.MapType, T.VariantType))]
     order = [F.col(id_col).asc_nulls_last(), *ties]
     if limit == 0:
         return df.limit(0)

@@ -167,14 +167,14 @@ def class_balance(df: DataFrame, label_col: str) -> DataFrame:
 def histogram(
     df: DataFrame, cols: Sequence[str], label_col: str, n_bins: int = N_BINS
 ) -> DataFrame:
-    """Density per feature, class and equal-width bin; missing values and empty bins are left out.
+    """Density per feature, class and equal-width bin; missing and infinite values and empty bins are left out.
 
     Two passes: limits of each feature, then one grouped count of
     features x classes x bins. A constant feature has one bin of width 1.
     """
     spark = df.sparkSession
-    aggs = [a for c in cols for a in (F.min(_number(c)).alias(f"{c}__lo"),
-                                      F.max(_number(c)).alias(f"{c}__hi"))]
+    finite = {c: F.when(F.abs(_number(c)) < F.lit(float("inf")), _number(c)) for c in cols}
+    aggs = [a for c, v in finite.items() for a in (F.min(v).alias(f"{c}__lo"), F.max(v).alias(f"{c}__hi"))]
     row = df.agg(*aggs).first()
     limits = [(c, row[f"{c}__lo"], row[f"{c}__hi"]) for c in cols if row[f"{c}__lo"] is not None]
     limit_df = spark.createDataFrame(
@@ -185,6 +185,7 @@ def histogram(
     bin_no = F.least(place, F.lit(n_bins - 1)).cast("int")
     counted = (
         long_form(df, cols, keep=[label_col])
+        .where(F.abs("value") < F.lit(float("inf")))
         .join(F.broadcast(limit_df), "feature")
         .groupBy("feature", F.col(label_col).alias("label"), bin_no.alias("bin"), "lo", "width")
         .agg(F.count("*").alias("n"))

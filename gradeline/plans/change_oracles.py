@@ -152,7 +152,13 @@ ORACLES = {
         CAST(CASE WHEN event_id % 11 = 0 OR event_id % 7 = 0 THEN 0 ELSE 2 END AS INTEGER) AS n_fields,
         CASE WHEN event_id % 11 = 0 OR event_id % 7 = 0 THEN '' ELSE event_type || ',value' END
           AS fields FROM events""",
-    "parse_times": """SELECT event_id, CASE WHEN event_id % 13 = 0 THEN NULL
+    "change_ids": f"""WITH {CHANGES}, made AS (SELECT *, md5(concat_ws('|', coalesce('=' || record_id, '-'), '=' || epoch_us(change_time),
+          '=' || operation, coalesce('=' || value, '-'))) AS d FROM changes)
+        SELECT CASE WHEN CAST(change_id AS BIGINT) % 3 = 0 THEN change_id
+          ELSE concat_ws('-', d[1:8], d[9:12], d[13:16], d[17:20], d[21:32]) END AS change_id,
+          CAST(record_id AS VARCHAR) AS record_id, {SHOWN} AS change_time, operation FROM made""",
+    "parse_times": """SELECT event_id, CASE WHEN event_id % 13 = 0 OR event_id % 17 = 0 OR event_id % 19 = 0 OR event_id % 23 = 0 THEN NULL
+        WHEN event_id % 29 = 0 THEN strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S.%f')
         WHEN event_id % 2 = 0 THEN strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S.%f')
         ELSE strftime(ts, '%Y-%m-%d %H:%M:%S.%f') END AS parsed FROM events""",
 }

@@ -136,6 +136,10 @@ def parse_times(spark, sf_dir):
     event = F.col("event_id")
     text = (
         F.when(event % 13 == 0, F.lit("soon"))
+        .when(event % 17 == 0, F.lit("12:30"))
+        .when(event % 19 == 0, F.lit("T1"))
+        .when(event % 23 == 0, F.lit("2024"))
+        .when(event % 29 == 0, F.date_format("ts", "yyyy-MM-dd"))
         .when(event % 2 == 0, F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
         .otherwise(F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z")))
     )
@@ -144,11 +148,17 @@ def parse_times(spark, sf_dir):
     )
 
 
+def change_ids(spark, sf_dir):
+    """Ids made from the content of the changes that bring none."""
+    given = changes(spark, sf_dir).withColumn("change_id", F.when(F.col("change_id").cast("long") % 3 == 0, F.col("change_id")))
+    return _flat(ops.derived_ids(given, SPEC).select("change_id", "record_id", "change_time", "operation"), "record_id")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         apply_outcomes, apply_changes, changed_fields, insert_rows, update_rows, delete_rows,
         change_messages, change_log_rows, change_history, changes_since, change_summary,
-        parse_changes, change_counters, parse_changed_fields, parse_times,
+        parse_changes, change_counters, parse_changed_fields, parse_times, change_ids,
     )
 }

@@ -147,6 +147,8 @@ ORACLES = {
     "page_rows": f"""{DATED} ORDER BY o_orderkey LIMIT 10
         OFFSET (SELECT 10 * (CAST(ceil(count(*) / 10.0) AS BIGINT) - 1) FROM orders)""",
     "page_rows_by_text": f"WITH {SAMPLES} SELECT * FROM samples ORDER BY rec_id LIMIT 10 OFFSET 1990",
+    "page_rows_ties": f"""{DATED} ORDER BY o_custkey, o_orderkey, o_orderstatus, o_totalprice, orders.o_orderdate, o_orderpriority
+        LIMIT 7 OFFSET 224""",
     "page_info": """SELECT count(*) AS total, CAST(10 AS INTEGER) AS per_page,
         CAST(greatest(ceil(count(*) / 10.0), 1) AS BIGINT) AS pages,
         CAST(greatest(ceil(count(*) / 10.0), 1) AS BIGINT) AS page FROM orders""",
@@ -175,6 +177,9 @@ ORACLES = {
     "remove_outliers": f"""WITH {TYPED},
         rows0 AS (SELECT * FROM coded WHERE size IS NOT NULL AND sweetness IS NOT NULL),
         {bounds(4)} SELECT * FROM rows4""",
+    "remove_outliers_text": f"""WITH {TYPED},
+        rows0 AS (SELECT * FROM coded WHERE size IS NOT NULL AND sweetness IS NOT NULL),
+        {bounds(3)} SELECT * REPLACE ('t' || CAST(acidity AS VARCHAR) AS acidity) FROM rows3""",
     "missing_values": f"WITH {TYPED} " + union_each(
         ("rec_id", *FEATURES, "quality"),
         "SELECT '{c}' AS feature, count(*) FILTER ({c} IS NULL) AS missing FROM typed"),

@@ -96,6 +96,11 @@ def page_rows_by_text(spark, sf_dir):
     return listing.page_rows(samples(spark, sf_dir), "rec_id", page=200, top_rows=0)
 
 
+def page_rows_ties(spark, sf_dir):
+    """A page whose ids repeat, cut among rows of one id, by the way that holds deep in a table."""
+    return dated(listing.page_rows(table(spark, sf_dir, "orders"), "o_custkey", page=33, per_page=7, top_rows=0))
+
+
 def page_info(spark, sf_dir):
     return listing.page_info(table(spark, sf_dir, "orders"), page=10**9)
 
@@ -151,6 +156,14 @@ def remove_outliers(spark, sf_dir):
     return clean_ops.remove_outliers(rows, SAMPLE_SPEC)
 
 
+def remove_outliers_text(spark, sf_dir):
+    """The rule on text columns: one holds numbers only and becomes one, the other is left alone."""
+    rows = clean_ops.drop_nulls(coded(spark, sf_dir)).withColumns({
+        "weight": F.concat(F.lit(" "), F.col("weight").cast("string")), "acidity": F.concat(F.lit("t"), F.col("acidity").cast("string")),
+    })
+    return clean_ops.remove_outliers(rows, SAMPLE_SPEC)
+
+
 # -- profiles ----------------------------------------------------------------
 
 
@@ -317,9 +330,9 @@ QUERIES = {
     f.__name__: f
     for f in (
         scan_raw, scan_query, lookup, list_rows, list_info, limit_rows, page_rows,
-        page_rows_by_text, page_info, chart_flags, row_count,
+        page_rows_by_text, page_rows_ties, page_info, chart_flags, row_count,
         update_probe, table_summary, sample_rows, drop_nulls, drop_duplicates, coerce_numeric,
-        map_labels, clean, default_features, remove_outliers, missing_values, describe,
+        map_labels, clean, default_features, remove_outliers, remove_outliers_text, missing_values, describe,
         column_stats, iqr_bounds, class_counts, class_share, class_balance, histogram, top_bins,
         label_correlation, corr_matrix, standardize, class_profile, correlation_bands,
         correlation_rank, correlation_extremes, feature_importance, balance_classes,

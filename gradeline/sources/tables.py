@@ -65,5 +65,5 @@ def table_summary(df: DataFrame) -> DataFrame:
 
 
 def sample_rows(df: DataFrame, id_col: str, n: int = 5) -> DataFrame:
-    """The first rows by id."""
-    return df.orderBy(id_col).limit(n)
+    """The first rows by id, NULL last."""
+    return df.orderBy(F.col(id_col).asc_nulls_last()).limit(n)
