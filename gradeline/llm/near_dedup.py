@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gradeline.llm.components import connected
+from gradeline.llm.components import connected, stars
 from gradeline.llm.url_filter import possible_hits
 from gradeline.llm.words import mix, seeds, shingle_hashes, word_hashes
 from gradeline.sources.stage import stage
@@ -44,6 +44,8 @@ MISSED = 1e-5
 BLOCK, BLOCK_CHARS = 512, 16_000_000
 #: Rows of a block where only signatures are compared.
 SIGN_BLOCK = 4096
+#: Groups of up to so many rows are compared many at a time.
+SMALL_GROUP = 24
 _U = np.uint64
 
 
@@ -265,41 +267,62 @@ def _compare(plan: Plan) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
     return compared
 
 
-def _sorted_groups(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[pd.DataFrame]:
-    """The groups of sorted rows; one group is held at a time."""
-    held: list[pd.DataFrame] = []
-    for batch in batches:
-        frame = pd.concat([*held, batch.to_pandas()], ignore_index=True)
-        keys = frame[by].to_numpy()
-        cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist()]
-        for a, b in zip(cuts, cuts[1:]):
-            yield frame.iloc[a:b]
-        held = [frame.iloc[cuts[-1]:]] if len(frame) else []
-    if held:
-        yield held[0]
+def _near_in(g: pd.DataFrame, plan: Plan) -> list[tuple[int, int]]:
+    """A spanning forest of the near pairs of one large group, row by row."""
+    signs = np.frombuffer(b"".join(g.signature), np.uint16).reshape(-1, SYMBOLS)
+    labels, block, rep = g.label.to_numpy(), g.block.to_numpy(), g.rep.to_numpy()
+    i, j = int(g.i.iloc[0]), int(g.j.iloc[0])
+    parent, found = np.arange(len(g)), []
+    for x in np.flatnonzero(block == i):
+        others = (block == j) & (labels != labels[x])
+        if i == j:
+            others[:x + 1] = False
+        others = np.flatnonzero(others)
+        for y in others[(signs[others] != signs[x]).sum(axis=1) <= plan.distance]:
+            if parent[x] != parent[y]:
+                parent[parent == parent[y]] = parent[x]
+                found.append((int(rep[x]), int(rep[y])))
+    return found
+
+
+def _near_in_small(frame: pd.DataFrame, groups: np.ndarray, longest: int, plan: Plan) -> list[tuple[int, int]]:
+    """Near pairs of many small groups at once: each row with the next, the one after it and so on."""
+    signs = np.frombuffer(b"".join(frame.signature), np.uint16).reshape(-1, SYMBOLS)
+    labels, rep = frame.label.to_numpy(), frame.rep.to_numpy()
+    found: list[tuple[int, int]] = []
+    for step in range(1, longest):
+        at = np.flatnonzero((groups[step:] == groups[:-step]) & (labels[step:] != labels[:-step]))
+        near = at[(signs[at] != signs[at + step]).sum(axis=1) <= plan.distance]
+        found += zip(rep[near].tolist(), rep[near + step].tolist())
+    return stars(found)
 
 
 def _near_pairs(plan: Plan) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Pairs (a, b) of different components under the distance: of each (key, i, j) a spanning forest of them."""
+    """Pairs (a, b) of different components that are joined by pairs under the distance, of rows sorted by (key, i, j)."""
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for g in _sorted_groups(batches, ["key", "i", "j"]):
-            signs = np.frombuffer(b"".join(g.signature), np.uint16).reshape(-1, SYMBOLS)
-            labels, block, rep = g.label.to_numpy(), g.block.to_numpy(), g.rep.to_numpy()
-            i, j = int(g.i.iloc[0]), int(g.j.iloc[0])
-            parent, left, right = np.arange(len(g)), [], []
-            for x in np.flatnonzero(block == i):
-                others = (block == j) & (labels != labels[x])
-                if i == j:
-                    others[:x + 1] = False
-                others = np.flatnonzero(others)
-                for y in others[(signs[others] != signs[x]).sum(axis=1) <= plan.distance]:
-                    if parent[x] != parent[y]:
-                        parent[parent == parent[y]] = parent[x]
-                        left.append(int(rep[x]))
-                        right.append(int(rep[y]))
-            if left:
-                yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
+        held: list[pd.DataFrame] = []
+
+        def out(frame: pd.DataFrame) -> pa.RecordBatch:
+            keys = frame[["key", "i", "j"]].to_numpy()
+            groups = np.concatenate([[0], np.cumsum((keys[1:] != keys[:-1]).any(axis=1))])
+            sizes = np.bincount(groups)
+            small = sizes[groups] <= SMALL_GROUP
+            found = _near_in_small(frame[small], groups[small], SMALL_GROUP, plan) if small.any() else []
+            for n in np.flatnonzero(sizes > SMALL_GROUP):
+                found += _near_in(frame[groups == n], plan)
+            a, b = zip(*found) if found else ((), ())
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+        for batch in batches:
+            frame = pd.concat([*held, batch.to_pandas()], ignore_index=True)
+            last = frame.iloc[-1] if len(frame) else None
+            open_ = (frame.key == last.key) & (frame.i == last.i) & (frame.j == last.j) if last is not None else []
+            held = [frame[open_]]
+            if len(frame) > len(held[0]):
+                yield out(frame[~open_])
+        if held and len(held[0]):
+            yield out(held[0])
 
     return pairs
 
