@@ -162,3 +162,12 @@ ORACLES = {
         WHEN event_id % 2 = 0 THEN strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S.%f')
         ELSE strftime(ts, '%Y-%m-%d %H:%M:%S.%f') END AS parsed FROM events""",
 }
+
+ORACLES["profile_after_changes"] = f"""WITH final AS ({ORACLES['apply_changes']}),
+    rows AS (SELECT record_id, CAST(value AS BIGINT) AS value, ((record_id % 7) + 7) % 7 AS rest FROM final),
+    named AS (SELECT *, CASE WHEN value >= 5 THEN 'high' ELSE 'low' END AS label FROM rows),
+    twice AS (SELECT * FROM named UNION ALL SELECT * REPLACE ('all' AS label) FROM named),
+    pairs AS (SELECT label, 'value' AS f, 'value' AS g, value AS x, value AS y FROM twice
+      UNION ALL SELECT label, 'value', 'rest', value, rest FROM twice UNION ALL SELECT label, 'rest', 'rest', rest, rest FROM twice)
+    SELECT label, f, g, count(*) AS n, round(avg(x), 6) AS mean_f, round(avg(y), 6) AS mean_g,
+      round(covar_pop(x, y), 6) AS covariance, round(corr(x, y), 6) AS r FROM pairs GROUP BY label, f, g"""

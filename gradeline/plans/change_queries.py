@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from gradeline.functions import columns as C
 from gradeline.operators import changes as ops
+from gradeline.operators import class_stats
 from gradeline.plans.inputs import base, changes, table
 from gradeline.sources.change_feed import parse_changes as parse_messages
 from gradeline.sources.stage import stage
@@ -154,11 +155,26 @@ def change_ids(spark, sf_dir):
     return _flat(ops.derived_ids(given, SPEC).select("change_id", "record_id", "change_time", "operation"), "record_id")
 
 
+def _featured(rows):
+    """Two features and a class of a row."""
+    label = F.when(F.col("value") >= 5, "high").otherwise("low")
+    return rows.withColumns({"rest": F.pmod("record_id", F.lit(7)), "label": label})
+
+
+def profile_after_changes(spark, sf_dir):
+    """Class statistics of the table before the changes, moved on by their old and new rows alone."""
+    before = class_stats.class_stats(_featured(base(spark, sf_dir)), ("value", "rest"), "label")
+    images = class_stats.changed_images(_replay(spark, sf_dir).outcomes, SPEC)
+    moved = class_stats.class_stats(_featured(images), ("value", "rest"), "label", "_weight")
+    after = class_stats.moments(class_stats.combine(before, moved))
+    return after.withColumns({c: F.round(c, 6) for c in ("mean_f", "mean_g", "covariance", "r")})
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         apply_outcomes, apply_changes, changed_fields, insert_rows, update_rows, delete_rows,
         change_messages, change_log_rows, change_history, changes_since, change_summary,
-        parse_changes, change_counters, parse_changed_fields, parse_times, change_ids,
+        parse_changes, change_counters, parse_changed_fields, parse_times, change_ids, profile_after_changes,
     )
 }
