@@ -1,12 +1,12 @@
-"""Removal of repeated passages by prefix-partitioned suffix trees on words.
-
-Only suffixes that can share a passage of ``window`` words are indexed. Of the 8-word grams in a window
-the one with the least hash, its anchor, is the same in every copy of the window, so a window whose
-anchor occurs once in the corpus is unique. Suffixes are dealt into groups by a prefix from the anchor:
-the anchor itself, or for an anchor with too many occurrences the whole window, so that groups fit in a
-task's memory. In a group the suffixes are sorted, which is their tree written in order; a run of suffixes
-that agree on ``window`` words is an internal node of that depth, a repeat, and its first leaf in the
-order of documents is the occurrence that stays. Neighbouring repeats join to maximal ones.
+"""Removal of repeated passages by groups of hashed word windows.
+
+Not suffix trees: no suffix is ordered by its words, and the only depth that is found is ``window`` words. Of the
+8-word grams in a window the one with the least hash, its anchor, is the same in every copy of the window, so a
+window whose anchor occurs once in the corpus is unique and does not move. The others are dealt into groups by
+their anchor, or for an anchor with too many occurrences by the hash of the whole window. In a group the 64-bit
+hashes of the windows are sorted; equal ones are a repeat, and the first in the order of documents is the occurrence
+that stays. Windows are compared by these hashes, not again by their words: with n windows in the corpus two
+different ones are taken for equal with a probability of about n * n / 2**65. Neighbouring repeats join to longer ones.
 """
 
 from __future__ import annotations
