@@ -42,7 +42,7 @@ STAGES = [
     ("mixing", mixture),
 ]
 
-#: The quality stage fits a model, which SQL cannot express; tests compare the stages with brute force.
+#: The quality stage fits a model, which SQL cannot express; tests/llm/test_pipeline.py compares each stage with a brute-force version.
 ORACLE_SQL = None
 
 
