@@ -18,7 +18,7 @@ only confirmed links leave the block. A pair inside one component can add nothin
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -44,6 +44,8 @@ MISSED = 1e-5
 BLOCK, BLOCK_CHARS = 512, 16_000_000
 #: Rows of a block where only signatures are compared.
 SIGN_BLOCK = 4096
+#: Members of a pivot that are compared with one copy of its text.
+PIVOT_ROWS = 1024
 #: Groups of up to so many rows are compared many at a time.
 SMALL_GROUP = 24
 _U = np.uint64
@@ -84,11 +86,12 @@ def plan_for(percent: int) -> Plan:
     raise ValueError(f"signatures of {SYMBOLS} symbols do not find pairs of {percent} % similarity")
 
 
-def _texts(column: pa.Array) -> list[bytes]:
-    return [(t or "").encode().lower() for t in column.to_pylist()]
+def _texts(column: pa.Array) -> Iterator[bytes]:
+    """One text at a time, so that a batch is not held a second time as Python strings."""
+    return ((t.as_py() or "").encode().lower() for t in column)
 
 
-def _sets(texts: list[bytes]) -> Iterator[np.ndarray]:
+def _sets(texts: Iterable[bytes]) -> Iterator[np.ndarray]:
     """Sorted distinct shingle hashes of each text; bytes.lower() lower-cases A-Z only."""
     for n, words, offsets in word_hashes(texts):
         hashes, at = shingle_hashes(words, offsets, WIDTH)
@@ -181,34 +184,54 @@ def _near(pairs: DataFrame, classes: DataFrame, plan: Plan) -> DataFrame:
 
 
 def _overlap(plan: Plan) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The links of rows (a, part, b, text) sorted by these: a pivot's own rows, without b, come before its members.
+
+    Only the sets of the pivot at hand are held; copies of its row add nothing.
+    """
+
     def confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pivot, sets = None, []
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                linked = []
-                for x, y in zip(_sets(_texts(part.column("ta"))), _sets(_texts(part.column("tb")))):
-                    both = len(np.intersect1d(x, y, assume_unique=True))
-                    linked.append(both > 0 and plan.similar(both, len(x) + len(y) - both))
-                yield part.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
+            left, right = [], []
+            names = zip(*(batch.column(c).to_pylist() for c in ("a", "part", "b")))
+            for (a, part, b), own in zip(names, _sets(_texts(batch.column("text")))):
+                if (a, part) != pivot:
+                    pivot, sets = (a, part), []
+                if b is None:
+                    if not any(np.array_equal(own, x) for x in sets):
+                        sets.append(own)
+                    continue
+                for x in sets:
+                    both = len(np.intersect1d(x, own, assume_unique=True))
+                    if both and plan.similar(both, len(x) + len(own) - both):
+                        left.append(a)
+                        right.append(b)
+                        break
+            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
 
     return confirmed
 
 
-def _texts_of(documents: DataFrame, ids: DataFrame) -> DataFrame:
-    """Texts of the documents in ``ids`` (doc_id). A filter of bounded size keeps most other texts from moving."""
+def _texts_of(documents: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``wanted`` rows with the text of their doc_id. A filter of bounded size keeps most other texts from moving."""
     key = F.col("doc_id").cast("string")
-    possible = possible_hits(documents.select("doc_id", "text"), key, ids.select(key.alias("key")))
-    return possible.join(ids, "doc_id", "left_semi")
+    possible = possible_hits(documents.select("doc_id", "text"), key, wanted.select(key.alias("key")).distinct())
+    return possible.join(wanted, "doc_id")
 
 
 def _linked(pairs: DataFrame, documents: DataFrame, plan: Plan) -> DataFrame:
-    """The pairs that hold on the full shingle sets; only texts of documents in a pair are moved."""
+    """The pairs that hold on the full shingle sets; only texts of documents in a pair are moved.
+
+    A member's text goes to its pivot's; the pivot's is there once for every ``PIVOT_ROWS`` members.
+    """
     pairs = stage(pairs, "pairs")
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    texts = stage(_texts_of(documents, ids), "texts")
-    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta"))
-    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
-    return pairs.join(left, "a").join(right, "b").mapInArrow(_overlap(plan), "a long, b long").distinct()
+    parts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PIVOT_ROWS).cast("int").alias("n"))
+    members = pairs.join(size, "a").select(F.col("b").alias("doc_id"), "a", F.pmod(F.xxhash64("b"), F.col("n")).cast("int").alias("part"), "b")
+    pivots = size.select(F.col("a").alias("doc_id"), "a", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("part"), F.lit(None).cast("long").alias("b"))
+    rows = _texts_of(documents, stage(members.union(pivots), "wanted")).select("a", "part", "b", "text")
+    sorted_ = rows.repartition(parts, "a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
+    return sorted_.mapInArrow(_overlap(plan), "a long, b long").distinct()
 
 
 def _links_between(one: pd.DataFrame, other: pd.DataFrame, same: bool, plan: Plan) -> tuple[list[int], list[int]]:
