@@ -402,7 +402,9 @@ def _across(buckets: DataFrame, classes: DataFrame, labels: DataFrame, documents
         .select("cluster", "rep", "label", "signature", "text", "block",
                 F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
     )
-    return dealt.repartition(parts, "cluster", "i", "j").sortWithinPartitions("cluster", "i", "j").mapInArrow(_compare(plan), "a long, b long")
+    dealt = dealt.repartition(parts, "cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
+    # Written before components are joined: two Python steps in one task would hold two workers.
+    return stage(dealt.mapInArrow(_compare(plan), "a long, b long"), "more")
 
 
 def near_groups(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
