@@ -78,6 +78,47 @@ def test_outliers_column_after_column(spark, staged):
     assert values(both.select("quality").distinct(), "quality") == [1]
 
 
+def searched(monkeypatch):
+    """The columns of each search for outlier limits."""
+    calls, search = [], clean.iqr_bounds
+    monkeypatch.setattr(clean, "iqr_bounds", lambda df, cols, *args: calls.append(list(cols)) or search(df, cols, *args))
+    return calls
+
+
+def test_columns_without_outliers_are_searched_together(spark, monkeypatch):
+    calls, names = searched(monkeypatch), ("a", "b", "c", "d")
+    df = spark.range(200).select(*[((F.col("id") * k) % 200).cast("double").alias(c) for k, c in zip((3, 7, 9, 11), names)])
+    got = clean.remove_outliers(df, TableSpec("id", names, "quality"))
+    assert got.count() == 200 and calls == [list(names)]
+
+
+@pytest.mark.parametrize("odd,missing", [("", "bf"), ("a", "d"), ("abcdef", ""), ("be", "a")])
+def test_columns_searched_together_equal_one_after_another(spark, monkeypatch, odd, missing):
+    calls, names, rng = searched(monkeypatch), list("abcdef"), np.random.default_rng(len(odd) + 10 * len(missing))
+    pdf = pd.DataFrame({c: rng.standard_t(1, 400) if c in odd else rng.random(400) for c in names})
+    for c in missing:
+        pdf.loc[rng.integers(0, 400, 9), c] = np.nan  # a missing value goes with its row, at that column's turn
+    # The last columns follow the first one, so that rows dropped there move their quartiles.
+    pdf["f"] += pdf["a"].fillna(0).clip(-50, 50)
+    rows = pdf.astype(object).where(pdf.notna() | (pdf.index.to_numpy() % 2 == 0)[:, None], None)
+    df = spark.createDataFrame(list(rows.itertuples(index=False, name=None)), ", ".join(f"{c} double" for c in names))
+    got = clean.remove_outliers(df, TableSpec("id", tuple(names), "quality"), staged=False).toPandas().sort_values(names)
+    assert np.array_equal(got.to_numpy(float), sequential(pdf, names).sort_values(names).to_numpy())
+    assert calls[0] == names and len(calls) <= 6
+
+
+def test_outliers_of_empty_and_of_missing_columns(spark):
+    spec = TableSpec("id", ("x", "y"), "quality")
+    assert clean.remove_outliers(spark.createDataFrame([], "x double, y double"), spec).count() == 0
+    df = spark.createDataFrame([(1.0, NAN), (2.0, None), (3.0, NAN), (None, 1.0), (4.0, NAN)], "x double, y double")
+    # The value that y has goes with the missing x; of the column left without values only NULL goes.
+    assert sorted(r.x for r in clean.remove_outliers(df, spec).collect()) == [1.0, 3.0, 4.0]
+    same = spark.createDataFrame([(5.0, 1.0)] * 9 + [(6.0, 1.0), (5.0, 2.0)], "x double, y double")
+    assert sorted(map(tuple, clean.remove_outliers(same, spec).collect())) == [(5.0, 1.0)] * 9
+    infinite = spark.createDataFrame([(math.inf, 1.0)] * 5 + [(1.0, 1.0)], "x double, y double")
+    assert clean.remove_outliers(infinite, spec).count() == 0  # no distance between infinite quartiles
+
+
 def test_text_column_is_left_alone_by_the_outlier_rule(spark):
     df = spark.createDataFrame([("a", 1.0, 1), ("b", 2.0, 1)], "x string, y double, quality int")
     assert clean.remove_outliers(df, SPEC).count() == 2
